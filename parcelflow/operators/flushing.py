@@ -24,7 +24,7 @@ from pyspark.sql.types import LongType, StructType
 from parcelflow.config import FLUSH_LIMITS, READY_FOR_DISPATCH, Limits
 from parcelflow.operators.orders import with_status
 from parcelflow.operators.packing import FIFO
-from parcelflow.operators.slices import GROUP_LIMIT, largest_group, sorted_slices
+from parcelflow.operators.slices import GROUP_LIMIT, group_key, key_runs, largest_group, sorted_slices
 
 
 @dataclass(frozen=True)
@@ -100,14 +100,6 @@ def _rows(pdf: pd.DataFrame) -> list[Row]:
     )
 
 
-def _runs(pdf: pd.DataFrame) -> Iterator[tuple[str, int, int]]:
-    """Stretches of equal ``_key`` in sorted rows, as key, start and end."""
-    starts = [0, *(pdf.index[pdf["_key"].ne(pdf["_key"].shift())][1:]), len(pdf)]
-    for start, end in zip(starts, starts[1:], strict=False):
-        if end > start:
-            yield pdf["_key"].iat[start], start, end
-
-
 def _number_sorted(limits: Limits, name: str, entering: dict[int, tuple[str, Waiting]] | None = None):
     """Map function over sorted partitions; ``entering`` gives the open group a slice continues."""
 
@@ -121,7 +113,7 @@ def _number_sorted(limits: Limits, name: str, entering: dict[int, tuple[str, Wai
             fresh = False
             given: list[int] = []
             rows = _rows(pdf)
-            for run_key, start, end in _runs(pdf):
+            for run_key, start, end in key_runs(pdf):
                 if run_key != key:
                     key, waiting = run_key, Waiting()
                 numbered, waiting = numbers(rows[start:end], waiting, limits)
@@ -140,7 +132,7 @@ def _first_and_last(limits: Limits):
         if not parts:
             return
         pdf = pd.concat(parts, ignore_index=True)
-        rows, runs, slice_number = _rows(pdf), list(_runs(pdf)), int(pdf["_slice"].iat[0])
+        rows, runs, slice_number = _rows(pdf), list(key_runs(pdf)), int(pdf["_slice"].iat[0])
         key, start, end = runs[0]
         first, reaches_end = rows[start:end], len(runs) == 1
         released, _ = first_release(first, 0, first[0][2], limits)
@@ -233,7 +225,7 @@ def threshold_groups(
     columns = orders.columns
     prepared = orders.withColumns(
         {
-            "_key": F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}),
+            "_key": group_key(keys),
             "_weight": F.col("total_weight").cast("double"),
             "_volume": F.col("total_volume").cast("double"),
             "_at": F.unix_micros(F.col(at)) / F.lit(1e6),

@@ -8,9 +8,10 @@ slice to slice.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelflow.session import checkpointed, stored
@@ -25,6 +26,19 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     return sizes.agg(F.max("count")).first()[0] or 0
 
 
+def group_key(keys: Sequence[str]) -> Column:
+    """Text that is the same for, and only for, rows of one group; never NULL."""
+    return F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
+
+
+def key_runs(pdf: pd.DataFrame) -> Iterator[tuple[str, int, int]]:
+    """Stretches of equal ``_key`` in sorted rows, as key, start and end."""
+    starts = [0, *(pdf["_key"].ne(pdf["_key"].shift()).to_numpy().nonzero()[0][1:].tolist()), len(pdf)]
+    for start, end in zip(starts, starts[1:], strict=False):
+        if end > start:
+            yield pdf["_key"].iat[start], start, end
+
+
 def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None) -> DataFrame:
     columns = [F.col(name) for name in (*keys, *order)]
     ranged = df.repartitionByRange(slices, *columns) if slices else df.repartitionByRange(*columns)
