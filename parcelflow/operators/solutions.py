@@ -140,19 +140,23 @@ def served_customers(solutions: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
+def latest_service(served: DataFrame) -> DataFrame:
+    """One row per customer: a customer served twice counts with the later time."""
+    return served.groupBy("customer_id").agg(F.max("new_finish_time").alias("new_finish_time"))
+
+
 def mark_dispatched(orders: DataFrame, served: DataFrame) -> DataFrame:
     """All orders; those of served customers are ``DISPATCHED`` at the latest time of the customer."""
-    latest = served.groupBy("customer_id").agg(F.max("new_finish_time").alias("new_finish_time"))
     return updated(
         orders,
-        latest,
+        latest_service(served),
         ["customer_id"],
         {"status": F.lit(config.DISPATCHED), "order_timestamp": F.col("new_finish_time")},
     )
 
 
 def dispatched_orders(orders: DataFrame, served: DataFrame) -> DataFrame:
-    """Only the orders of served customers, marked; one row per order and service."""
-    matches = served.withColumnRenamed("customer_id", "served_customer_id")
-    joined = orders.join(matches, F.col("customer_id") == F.col("served_customer_id"))
+    """Only the orders of served customers, marked."""
+    latest = latest_service(served).withColumnRenamed("customer_id", "served_customer_id")
+    joined = orders.join(latest, F.col("customer_id") == F.col("served_customer_id"))
     return with_status(joined, config.DISPATCHED).withColumn("order_timestamp", F.col("new_finish_time"))
