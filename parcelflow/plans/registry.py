@@ -626,8 +626,8 @@ def compacted_orders(spark, folder):
 # --- streams ------------------------------------------------------------------------------------
 
 
-def _streamed(stream: DataFrame, root: str, name: str, by: tuple[str, ...] = ()) -> DataFrame:
-    streams.finish(streams.start(stream, f"{root}/{name}", f"{root}/checkpoint-{name}", by))
+def _streamed(stream: DataFrame, root: str, name: str, timers: bool = False) -> DataFrame:
+    streams.finish(streams.start(stream, f"{root}/{name}", f"{root}/checkpoint-{name}", timers=timers))
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{root}/{name}")
 
 
@@ -726,7 +726,7 @@ def stream_cutoff_flush(spark, folder):
     root = scratch_path(spark, "stream")
     stream = _stored_paid(spark, folder, root)
     released = flush.threshold_stream(stream, "depot", config.CUTOFF_LIMITS, per_order=False, cutoff="00:00", lanes=4)
-    rows = _streamed(released, root, "released")
+    rows = _streamed(released, root, "released", timers=True)
     return rows.groupBy("key").agg(
         F.count("*").alias("orders"), F.sum("total_weight").alias("weight"), F.sum("total_volume").alias("volume")
     )

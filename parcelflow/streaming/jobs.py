@@ -20,18 +20,28 @@ def start(
     by: Sequence[str] = (),
     fmt: str = "parquet",
     every: str | None = None,
+    timers: bool = False,
     **options: str,
 ) -> StreamingQuery:
     """Append a stream to a table.
 
     Without ``every`` it takes all that is there and stops by itself; ``every="5 minutes"`` keeps it running.
+    A stream with processing-time ``timers`` always has another empty batch to run, so to stop by
+    itself it must run batches for data only.
     """
     writer = stream.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     writer = writer.options(**options)
     if by:
         writer = writer.partitionBy(*by)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    return writer.start(path) if path else writer.start()
+    conf, idle = stream.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = conf.get(idle)
+    try:
+        if timers and not every:
+            conf.set(idle, "false")  # a stream keeps the settings it was started with
+        return writer.start(path) if path else writer.start()
+    finally:
+        conf.set(idle, before)
 
 
 def finish(query: StreamingQuery, seconds: int | None = None) -> None:
