@@ -162,8 +162,8 @@ def request_documents(
     """
     wanted = visit_column(settings.visit) if visit is None else visit
     visits = batch_visits(batches, keys, wanted, limit)
-    options = F.from_json(
-        F.lit(json.dumps(settings.options)), F.schema_of_json(F.lit(json.dumps(settings.options)))
-    )
-    payload = F.struct(F.col("visits"), fleet_column(settings, last_depot).alias("fleet"), options.alias("options"))
-    return visits.select(*keys, "part", F.size("visits").alias("visits"), F.to_json(payload).alias("document"))
+    # Fleet and options are the same in every request, so their text is a constant.
+    fleet = json.dumps(fleet_plan(settings, last_depot), ensure_ascii=False)
+    same = f',"fleet":{fleet},"options":{json.dumps(settings.options)}}}'
+    document = F.concat(F.lit('{"visits":'), F.to_json("visits"), F.lit(same))
+    return visits.select(*keys, "part", F.size("visits").alias("visits"), document.alias("document"))

@@ -159,8 +159,18 @@ def status_counts(spark, folder):
 # --- packing ------------------------------------------------------------------------------------
 
 
+def _gold(spark: SparkSession, folder: str) -> DataFrame:
+    """Gold orders as the table that the packing jobs read, some of them more than once."""
+    return stored(testdata.paid_orders(spark, folder), "gold")
+
+
 def _batches(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.capacity_batches(testdata.paid_orders(spark, folder), PERIOD)
+    return packing.capacity_batches(_gold(spark, folder), PERIOD)
+
+
+def _packed(spark: SparkSession, folder: str) -> DataFrame:
+    """Packed orders as the table that the request job reads."""
+    return stored(_batches(spark, folder), "packed")
 
 
 @query
@@ -213,19 +223,19 @@ def window_order_lists(spark, folder):
 
 @query
 def threshold_flush_batches(spark, folder):
-    groups = flushing.threshold_groups(testdata.paid_orders(spark, folder), ["depot"], FLUSH)
+    groups = flushing.threshold_groups(_gold(spark, folder), ["depot"], FLUSH)
     return groups.select("order_id", "depot", "flush_id", "status")
 
 
 @query
 def lorry_split(spark, folder):
-    split = lorries.lorry_split(lorries.lorry_loads(testdata.paid_orders(spark, folder), WEEK))
+    split = lorries.lorry_split(lorries.lorry_loads(_gold(spark, folder), WEEK))
     return split.select("order_id", stamp("window_start").alias("window_start"), "status")
 
 
 @query
 def lorry_lists(spark, folder):
-    split = lorries.lorry_split(lorries.lorry_loads(testdata.paid_orders(spark, folder), WEEK))
+    split = lorries.lorry_split(lorries.lorry_loads(_gold(spark, folder), WEEK))
     return lorries.lorry_lists(split).select(
         stamp("window_start").alias("window_start"),
         "status",
@@ -246,7 +256,7 @@ def fleet_assignment(spark, folder):
 
 
 def _exploded_visits(spark: SparkSession, folder: str, visit: Column) -> DataFrame:
-    visits = requests.batch_visits(_batches(spark, folder), [PERIOD, "batch_id"], visit)
+    visits = requests.batch_visits(_packed(spark, folder), [PERIOD, "batch_id"], visit)
     return visits.select(
         stamp(PERIOD).alias(PERIOD), "batch_id", number("part").alias("part"), F.explode("visits").alias("order_id", "v")
     )
@@ -289,7 +299,7 @@ def batch_visit_loads(spark, folder):
 def request_documents(spark, folder):
     """Documents parsed back from their text."""
     path = scratch_path(spark, "requests")
-    sinks.overwrite(requests.request_documents(_batches(spark, folder), [PERIOD, "batch_id"]), path)
+    sinks.overwrite(requests.request_documents(_packed(spark, folder), [PERIOD, "batch_id"]), path)
     shape = (
         "visits map<string, struct<duration: int>>,"
         " fleet map<string, struct<start_location: struct<id: string>>>,"
@@ -313,7 +323,7 @@ def pending_jobs(spark, folder):
     """Jobs are the packed months; every third one has no answer yet."""
     root = scratch_path(spark, "jobs")
     job = F.date_format(PERIOD, "yyyy-MM")
-    documents = requests.request_documents(_batches(spark, folder), [PERIOD, "batch_id"])
+    documents = requests.request_documents(_packed(spark, folder), [PERIOD, "batch_id"])
     jobs_ = stored(documents.select(job.alias("job_id"), "document"), "job-documents")
     answered = F.pmod(F.substring("job_id", 6, 2).cast("int"), F.lit(3)) != 0
     sinks.write_documents(jobs_, f"{root}/batching")
@@ -616,7 +626,7 @@ def map_locations(spark, folder):
 def compacted_orders(spark, folder):
     """Three appends to a partitioned table, rewritten into few files."""
     root = scratch_path(spark, "compaction")
-    gold = stored(testdata.paid_orders(spark, folder).withColumn("label", F.date_format(PERIOD, "yyyy-MM")), "gold")
+    gold = _gold(spark, folder).withColumn("label", F.date_format(PERIOD, "yyyy-MM"))
     for depot in config.DEPOTS:
         sinks.append(gold.filter(F.col("depot") == depot.name), f"{root}/appended", ["label"])
     path = sinks.compacted(spark, f"{root}/appended", f"{root}/compacted", ["label"])

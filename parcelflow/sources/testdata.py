@@ -2,7 +2,7 @@
 
 All numbers that get summed are whole, all keys are computed, nothing is random, so any SQL engine
 gives the same values. Documents stay small however large the tables are: an event holds at most
-three items with two packages each, a run covers 256 order keys.
+three items with two packages each, a run covers 512 order keys.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from parcelflow.functions import times
 from parcelflow.operators.orders import gold_orders, silver_orders
 from parcelflow.sources.tables import read_table
 
-RUN_SIZE = 256
+RUN_SIZE = 512
 BUSY_DRIVERS = 17  # the last driver of the fleet stays idle
 RUN_SPACING = 1777  # seconds from one run to the next
 RUN_SPAN = 630_720_000  # seconds after which run times start over
@@ -23,103 +23,93 @@ FIRST_RUN = "2024-10-01 00:00:00"
 LATE_MINUTE = 1050
 RETURN_FLAGS = ("A", "N", "R")
 LINE_STATES = ("F", "O")
+_LAT = "double(pmod({key} * 7919, 3400) + 403121) / 10000d"
+_LON = "double(pmod({key} * 104729, 2993) - 38666) / 10000d"
+
+# Columns in use; given to the reader so that it need not open files to find out.
+TABLES = {
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_quantity double, l_extendedprice double,
+                   l_returnflag string, l_linestatus string""",
+    "part": "p_partkey bigint, p_size int",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
+                 o_orderdate timestamp_ntz""",
+    "customer": "c_custkey bigint, c_name string, c_acctbal double, c_mktsegment string",
+}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return read_table(spark, f"{folder}/{name}.parquet")
+    return read_table(spark, f"{folder}/{name}.parquet", schema=TABLES[name])
 
 
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Totals per order, and per kind of line for the nested items."""
-    lines = table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus"
-    )
-    parts = table(spark, folder, "part").select("p_partkey", "p_size")
+    lines, parts = table(spark, folder, "lineitem"), table(spark, folder, "part")
     sized = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).withColumn(
         "volume", F.col("l_quantity") * F.col("p_size")
     )
-    sums = [F.sum("l_quantity").alias("total_weight"), F.sum("volume").alias("total_volume")]
+    sums = ["sum(l_quantity) AS total_weight", "sum(volume) AS total_volume"]
     for flag in RETURN_FLAGS:
-        of_flag = F.col("l_returnflag") == flag
-        sums.append(F.max(F.when(of_flag, F.col("l_extendedprice"))).alias(f"price_{flag}"))
+        sums.append(f"max(l_extendedprice) FILTER (WHERE l_returnflag = '{flag}') AS price_{flag}")
         for state in LINE_STATES:
-            chosen = of_flag & (F.col("l_linestatus") == state)
-            sums.append(F.sum(F.when(chosen, F.col("l_quantity"))).alias(f"weight_{flag}{state}"))
-            sums.append(F.sum(F.when(chosen, F.col("volume"))).alias(f"volume_{flag}{state}"))
-    return sized.groupBy("l_orderkey").agg(*sums)
-
-
-def order_second(orderdate: Column, orderkey: Column) -> Column:
-    return orderdate.cast("timestamp") + F.make_dt_interval(secs=F.pmod(orderkey, F.lit(86400)))
+            kind = f"l_returnflag = '{flag}' AND l_linestatus = '{state}'"
+            sums.append(f"sum(l_quantity) FILTER (WHERE {kind}) AS weight_{flag}{state}")
+            sums.append(f"sum(volume) FILTER (WHERE {kind}) AS volume_{flag}{state}")
+    return sized.groupBy("l_orderkey").agg(*[F.expr(text) for text in sums])
+
+
+def _package(flag: str, number: int) -> str:
+    kind = f"{flag}{LINE_STATES[number]}"
+    return f"""named_struct(
+        'package_id', order_id || '-{kind}', 'subpackage_id', {number + 1},
+        'quantity', int(weight_{kind}), 'weight', weight_{kind}, 'volume', volume_{kind})"""
+
+
+def _item(flag: str) -> str:
+    packages = ", ".join(_package(flag, number) for number in range(len(LINE_STATES)))
+    quantity = " + ".join(f"coalesce(weight_{flag}{state}, 0)" for state in LINE_STATES)
+    return f"""named_struct(
+        'product_id', order_id || '-{flag}', 'product_name', 'lines {flag}', 'price', price_{flag},
+        'quantity', int({quantity}), 'packages', filter(array({packages}), p -> p.weight IS NOT NULL))"""
+
+
+_ORDER_DETAILS = f"""named_struct(
+    'customer_id', '{config.CUSTOMER_PREFIX}' || o_custkey,
+    'order_timestamp', at,
+    'order_date', substring(at, 1, 10),
+    'items', filter(array({", ".join(_item(flag) for flag in RETURN_FLAGS)}), i -> i.quantity > 0),
+    'total_amount', o_totalprice,
+    'total_volume', total_volume,
+    'total_weight', total_weight,
+    'status', '{config.RECEIVED}',
+    'destination_address', named_struct(
+        'address_id', 'adr-' || o_custkey, 'neighborhood', string(null), 'coordinates', array(lat, lon),
+        'road', 'Main road', 'house_number', string(pmod(o_custkey, 200)), 'suburb', string(null),
+        'city_district', string(null), 'state', string(null), 'postcode', string(null), 'country', 'Spain',
+        'lat', lat, 'lon', lon),
+    'payment_details', named_struct(
+        'payment_method', 'Credit Card',
+        'payment_status', if(o_orderstatus = 'P', 'PENDING', '{config.PAID}'),
+        'transaction_id', 'trx-' || o_orderkey))"""
 
 
 def order_events(spark: SparkSession, folder: str) -> DataFrame:
     """One nested event per order that has lines."""
     orders = table(spark, folder, "orders")
     joined = orders.join(order_lines(spark, folder), F.col("o_orderkey") == F.col("l_orderkey"))
-    key, customer = F.col("o_orderkey"), F.col("o_custkey")
-    order_id = F.concat(F.lit("ord-"), key.cast("string"))
-    at = F.date_format(order_second(F.col("o_orderdate"), key), times.ORDER_FORMAT)
-    lat = F.pmod(customer * 7919, F.lit(3400)) + F.lit(403121)
-    lon = F.pmod(customer * 104729, F.lit(2993)) + F.lit(-38666)
-    lat, lon = lat.cast("double") / F.lit(10000.0), lon.cast("double") / F.lit(10000.0)
-
-    def package(flag: str, number: int) -> Column:
-        state = LINE_STATES[number]
-        weight, volume = F.col(f"weight_{flag}{state}"), F.col(f"volume_{flag}{state}")
-        return F.struct(
-            F.concat(order_id, F.lit(f"-{flag}{state}")).alias("package_id"),
-            F.lit(number + 1).alias("subpackage_id"),
-            weight.cast("int").alias("quantity"),
-            weight.alias("weight"),
-            volume.alias("volume"),
-        )
-
-    def item(flag: str) -> Column:
-        packages = F.array(*[package(flag, number) for number in range(len(LINE_STATES))])
-        quantity = sum((F.coalesce(f"weight_{flag}{state}", F.lit(0.0)) for state in LINE_STATES), F.lit(0.0))
-        return F.struct(
-            F.concat(order_id, F.lit(f"-{flag}")).alias("product_id"),
-            F.lit(f"lines {flag}").alias("product_name"),
-            F.col(f"price_{flag}").alias("price"),
-            quantity.cast("int").alias("quantity"),
-            F.filter(packages, lambda entry: entry["weight"].isNotNull()).alias("packages"),
-        )
-
-    address = F.struct(
-        F.concat(F.lit("adr-"), customer.cast("string")).alias("address_id"),
-        F.lit(None).cast("string").alias("neighborhood"),
-        F.array(lat, lon).alias("coordinates"),
-        F.lit("Main road").alias("road"),
-        F.pmod(customer, F.lit(200)).cast("string").alias("house_number"),
-        *[F.lit(None).cast("string").alias(name) for name in ("suburb", "city_district", "state", "postcode")],
-        F.lit("Spain").alias("country"),
-        lat.alias("lat"),
-        lon.alias("lon"),
-    )
-    payment = F.struct(
-        F.lit("Credit Card").alias("payment_method"),
-        F.when(F.col("o_orderstatus") == "P", "PENDING").otherwise(config.PAID).alias("payment_status"),
-        F.concat(F.lit("trx-"), key.cast("string")).alias("transaction_id"),
+    keyed = joined.selectExpr(
+        "*",
+        "'ord-' || o_orderkey AS order_id",
+        "date_format(timestamp(o_orderdate) + make_dt_interval(0, 0, 0, pmod(o_orderkey, 86400)),"
+        f" '{times.ORDER_FORMAT}') AS at",
+        f"{_LAT.format(key='o_custkey')} AS lat",
+        f"{_LON.format(key='o_custkey')} AS lon",
     )
-    details = F.struct(
-        F.concat(F.lit(config.CUSTOMER_PREFIX), customer.cast("string")).alias("customer_id"),
-        at.alias("order_timestamp"),
-        F.substring(at, 1, 10).alias("order_date"),
-        F.filter(F.array(*[item(flag) for flag in RETURN_FLAGS]), lambda entry: entry["quantity"] > 0).alias("items"),
-        F.col("o_totalprice").alias("total_amount"),
-        F.col("total_volume"),
-        F.col("total_weight"),
-        F.lit(config.RECEIVED).alias("status"),
-        address.alias("destination_address"),
-        payment.alias("payment_details"),
-    )
-    return joined.select(
-        F.concat(F.lit("evt-"), key.cast("string")).alias("event_id"),
-        F.lit("ORDER_CREATED").alias("event_type"),
-        at.alias("event_timestamp"),
-        order_id.alias("order_id"),
-        details.alias("order_details"),
+    return keyed.selectExpr(
+        "'evt-' || o_orderkey AS event_id",
+        "'ORDER_CREATED' AS event_type",
+        "at AS event_timestamp",
+        "order_id",
+        f"{_ORDER_DETAILS} AS order_details",
     )
 
 
@@ -153,8 +143,8 @@ def clients(spark: SparkSession, folder: str) -> DataFrame:
         F.col("c_name").alias("address"),
         F.when(F.col("c_acctbal") > 0, "active").otherwise("inactive").alias("status"),
         F.col("c_mktsegment").alias("points"),
-        ((F.pmod(key * 7919, F.lit(3400)) + 403121).cast("double") / 10000.0).alias("lat"),
-        ((F.pmod(key * 104729, F.lit(2993)) - 38666).cast("double") / 10000.0).alias("lon"),
+        F.expr(_LAT.format(key="c_custkey")).alias("lat"),
+        F.expr(_LON.format(key="c_custkey")).alias("lon"),
     )
 
 
