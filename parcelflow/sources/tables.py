@@ -85,5 +85,12 @@ def table_exists(spark: SparkSession, name_or_path: str) -> bool:
 
 
 def with_row_identity(df: DataFrame, name: str = "row_identity") -> DataFrame:
-    """Add a column that tells even equal rows of a Parquet table apart: file and position in it."""
-    return df.withColumn(name, F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index")))
+    """Add a column that tells even equal rows of a Parquet table apart: file (as a hash) and position in it."""
+    return df.withColumn(name, F.struct(F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index")))
+
+
+def read_archiving_stream(
+    spark: SparkSession, path: str, schema: Schema, archive: str, fmt: str = "parquet", **options: str
+) -> DataFrame:
+    """File stream that moves each input to ``archive`` once a later micro-batch shows it is done with."""
+    return read_stream(spark, path, schema, fmt, cleanSource="archive", sourceArchiveDir=archive, **options)

@@ -251,6 +251,16 @@ def test_archived_inputs_and_publishing(spark, tmp_path):
     assert {(r.key, json.loads(r.value)["id"]) for r in rows} == {("cus-1", n) for n in range(3)}
 
 
+def test_inputs_are_archived(spark, tmp_path):
+    stream = None
+    for number in range(3):
+        spark.range(number, number + 1).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = tables.read_archiving_stream(spark, f"{tmp_path}/in", "id bigint", f"{tmp_path}/archive")
+        streams.finish(streams.start(stream, f"{tmp_path}/out", f"{tmp_path}/checkpoint"))
+    assert {r.id for r in tables.read_table(spark, f"{tmp_path}/out").collect()} == {0, 1, 2}
+    assert any(tmp_path.glob("archive/**/*.parquet"))
+
+
 def test_start_position_is_checked(spark, tmp_path):
     with pytest.raises(ValueError):
         tables.read_stream_from(spark, str(tmp_path), "id bigint", "middle")
