@@ -13,10 +13,11 @@ shuffles and sorts. A key too large for one task is cut into slices which are wa
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, replace
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
@@ -24,7 +25,15 @@ from pyspark.sql.types import LongType, StructType
 from parcelflow.config import FLUSH_LIMITS, READY_FOR_DISPATCH, Limits
 from parcelflow.operators.orders import with_status
 from parcelflow.operators.packing import FIFO
-from parcelflow.operators.slices import GROUP_LIMIT, group_key, key_runs, largest_group, sorted_slices
+from parcelflow.operators.slices import (
+    GROUP_LIMIT,
+    group_key,
+    key_runs,
+    largest_group,
+    numbers_of,
+    sorted_slices,
+    with_result,
+)
 
 
 @dataclass(frozen=True)
@@ -51,13 +60,18 @@ def take(waiting: Waiting, row: Row, limits: Limits) -> tuple[Waiting, bool]:
     return Waiting(waiting.number, weight, volume, since), False
 
 
-def numbers(rows: Sequence[Row], waiting: Waiting, limits: Limits) -> tuple[list[int], Waiting]:
+def numbers(rows: Iterable[Row], waiting: Waiting, limits: Limits) -> tuple[list[int], Waiting]:
     """Group number of every order, and what is waiting after the last one."""
+    number, sum_weight, sum_volume, since = waiting.number, waiting.weight, waiting.volume, waiting.since
+    age = float("inf") if limits.seconds is None else limits.seconds
     given = []
-    for row in rows:
-        given.append(waiting.number)
-        waiting, _ = take(waiting, row, limits)
-    return given, waiting
+    for weight, volume, at in rows:
+        given.append(number)
+        since = at if since is None else since
+        sum_weight, sum_volume = sum_weight + weight, sum_volume + volume
+        if sum_weight >= limits.weight or sum_volume >= limits.volume or at - since >= age:
+            number, sum_weight, sum_volume, since = number + 1, 0.0, 0.0, at
+    return given, Waiting(number, sum_weight, sum_volume, since)
 
 
 def first_release(rows: Sequence[Row], start: int, since: float, limits: Limits) -> tuple[int | None, Waiting]:
@@ -94,32 +108,29 @@ class SliceEnds:
         return self.known[position + 1]
 
 
-def _rows(pdf: pd.DataFrame) -> list[Row]:
-    return list(
-        zip(pdf["_weight"].fillna(0.0).tolist(), pdf["_volume"].fillna(0.0).tolist(), pdf["_at"].tolist(), strict=True)
-    )
+def _rows(batch: pa.RecordBatch | pa.Table) -> list[Row]:
+    return list(zip(*(numbers_of(batch, name) for name in ("_weight", "_volume", "_at")), strict=True))
 
 
 def _number_sorted(limits: Limits, name: str, entering: dict[int, tuple[str, Waiting]] | None = None):
     """Map function over sorted partitions; ``entering`` gives the open group a slice continues."""
 
-    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, waiting, fresh = None, Waiting(), True
-        for pdf in batches:
-            if pdf.empty:
+        for batch in batches:
+            if not batch.num_rows:
                 continue
             if fresh and entering:
-                key, waiting = entering.get(int(pdf["_slice"].iat[0]), (key, waiting))
+                key, waiting = entering.get(batch.column("_slice")[0].as_py(), (key, waiting))
             fresh = False
             given: list[int] = []
-            rows = _rows(pdf)
-            for run_key, start, end in key_runs(pdf):
+            rows = _rows(batch)
+            for run_key, start, end in key_runs(batch.column("_key")):
                 if run_key != key:
                     key, waiting = run_key, Waiting()
                 numbered, waiting = numbers(rows[start:end], waiting, limits)
                 given.extend(numbered)
-            pdf[name] = given
-            yield pdf.drop(columns=[column for column in pdf.columns if column.startswith("_")])
+            yield with_result(batch, name, pa.array(given, pa.int64()))
 
     return number
 
@@ -127,25 +138,26 @@ def _number_sorted(limits: Limits, name: str, entering: dict[int, tuple[str, Wai
 def _first_and_last(limits: Limits):
     """Per slice: the notes on its first key, and the open group of its last key if that begins here."""
 
-    def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = [pdf[["_slice", "_key", "_weight", "_volume", "_at"]] for pdf in batches if len(pdf)]
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [batch for batch in batches if batch.num_rows]
         if not parts:
             return
-        pdf = pd.concat(parts, ignore_index=True)
-        rows, runs, slice_number = _rows(pdf), list(key_runs(pdf)), int(pdf["_slice"].iat[0])
+        table = pa.Table.from_batches(parts).combine_chunks()
+        rows, runs = _rows(table), list(key_runs(table.column("_key").chunk(0)))
+        slice_number = table.column("_slice")[0].as_py()
         key, start, end = runs[0]
-        first, reaches_end = rows[start:end], len(runs) == 1
+        first = rows[start:end]
         released, _ = first_release(first, 0, first[0][2], limits)
         ends = SliceEnds(first, limits)
         notes = []
         for position, row in enumerate(first if released is None else first[: released + 1]):
             left = ends.after(position)
             notes.append((slice_number, position, key, *row, left.number, left.weight, left.volume, left.since))
-        if not reaches_end:
+        if len(runs) > 1:
             key, start, end = runs[-1]
             _, left = numbers(rows[start:end], Waiting(), limits)
-            notes.append((slice_number, len(pdf), key, 0.0, 0.0, 0.0, left.number, left.weight, left.volume, left.since))
-        yield pd.DataFrame(notes, columns=list(_NOTES))
+            notes.append((slice_number, start, key, 0.0, 0.0, 0.0, left.number, left.weight, left.volume, left.since))
+        yield pa.RecordBatch.from_arrays([pa.array(column) for column in zip(*notes, strict=True)], names=list(_NOTES))
 
     return summarise
 
@@ -234,15 +246,15 @@ def threshold_groups(
     out = StructType([*orders.schema.fields]).add(name, LongType())
     if slices is None and largest_group(orders, keys) <= group_limit:
         by_key = prepared.repartition("_key").sortWithinPartitions("_key", *order)
-        numbered = by_key.mapInPandas(_number_sorted(limits, name), out)
+        numbered = by_key.mapInArrow(_number_sorted(limits, name), out)
     else:
         cut = sorted_slices(prepared, ["_key"], order, slices)
-        notes = cut.select("_slice", "_key", "_weight", "_volume", "_at").mapInPandas(_first_and_last(limits), _ddl(_NOTES))
+        notes = cut.select("_slice", "_key", "_weight", "_volume", "_at").mapInArrow(_first_and_last(limits), _ddl(_NOTES))
         entries = notes.groupBy("_key").applyInPandas(_enter_slices(limits), _ddl(_ENTRIES))
         # One row per slice at most: a slice can only continue the key it starts with.
         entering = {
             row["_slice"]: (row["_key"], Waiting(row["number"], row["weight"], row["volume"], row["since"]))
             for row in entries.toLocalIterator()
         }
-        numbered = cut.mapInPandas(_number_sorted(limits, name, entering), out)
+        numbered = cut.mapInArrow(_number_sorted(limits, name, entering), out)
     return with_status(numbered.select(*columns, name), READY_FOR_DISPATCH) if "status" in columns else numbered

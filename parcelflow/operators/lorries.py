@@ -14,45 +14,53 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructType
 
 from parcelflow.config import LORRY_LIMITS, READY_FOR_DISPATCH, RECEIVED, Limits
 from parcelflow.operators.packing import FIFO, listed
-from parcelflow.operators.slices import GROUP_LIMIT, group_key, key_runs, largest_group, running_totals
+from parcelflow.operators.slices import (
+    GROUP_LIMIT,
+    group_key,
+    key_runs,
+    largest_group,
+    numbers_of,
+    running_totals,
+    with_result,
+)
 from parcelflow.session import stored
 
 _WORK = ("_key", "_weight", "_volume", "_room_weight", "_room_volume")
 
 
-def _load_sorted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _load_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Walk sorted rows; the first row of a window tells how much room there is."""
     key, weight_left, volume_left = None, 0.0, 0.0
-    for pdf in batches:
-        if pdf.empty:
+    for batch in batches:
+        if not batch.num_rows:
             continue
-        weights, volumes = pdf["_weight"].tolist(), pdf["_volume"].tolist()
+        weights, volumes = numbers_of(batch, "_weight"), numbers_of(batch, "_volume")
         loaded = []
-        for run_key, start, end in key_runs(pdf):
+        for run_key, start, end in key_runs(batch.column("_key")):
             if run_key != key:
                 key = run_key
-                weight_left, volume_left = pdf["_room_weight"].iat[start], pdf["_room_volume"].iat[start]
-            for position in range(start, end):
-                fits = weights[position] <= weight_left and volumes[position] <= volume_left
+                weight_left = batch.column("_room_weight")[start].as_py()
+                volume_left = batch.column("_room_volume")[start].as_py()
+            for weight, volume in zip(weights[start:end], volumes[start:end], strict=True):
+                fits = weight <= weight_left and volume <= volume_left
                 loaded.append(fits)
                 if fits:
-                    weight_left -= weights[position]
-                    volume_left -= volumes[position]
-        pdf["loaded"] = loaded
-        yield pdf.drop(columns=list(_WORK))
+                    weight_left -= weight
+                    volume_left -= volume
+        yield with_result(batch, "loaded", pa.array(loaded, pa.bool_()))
 
 
 def _walk(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     kept = [field for field in rows.schema.fields if field.name not in _WORK]
     out = StructType(kept).add("loaded", BooleanType())
-    return rows.repartition("_key").sortWithinPartitions("_key", *order).mapInPandas(_load_sorted, out)
+    return rows.repartition("_key").sortWithinPartitions("_key", *order).mapInArrow(_load_sorted, out)
 
 
 def _fits(weight: Column, volume: Column) -> Column:

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,12 +32,23 @@ def group_key(keys: Sequence[str]) -> Column:
     return F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
 
 
-def key_runs(pdf: pd.DataFrame) -> Iterator[tuple[str, int, int]]:
-    """Stretches of equal ``_key`` in sorted rows, as key, start and end."""
-    starts = [0, *(pdf["_key"].ne(pdf["_key"].shift()).to_numpy().nonzero()[0][1:].tolist()), len(pdf)]
-    for start, end in zip(starts, starts[1:], strict=False):
-        if end > start:
-            yield pdf["_key"].iat[start], start, end
+def key_runs(keys: pa.Array) -> Iterator[tuple[str, int, int]]:
+    """Stretches of equal values in sorted, non-empty ``keys``, as key, start and end."""
+    changes = pc.not_equal(keys.slice(1), keys.slice(0, len(keys) - 1)).to_numpy(zero_copy_only=False).nonzero()[0]
+    borders = [0, *(changes + 1).tolist(), len(keys)]
+    for start, end in zip(borders, borders[1:], strict=False):
+        yield keys[start].as_py(), start, end
+
+
+def numbers_of(batch: pa.RecordBatch | pa.Table, name: str) -> list[float]:
+    """A number column as Python numbers, NULL as nothing."""
+    return pc.fill_null(batch.column(name), 0.0).to_pylist()
+
+
+def with_result(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
+    """The batch without its working columns, those that start with ``_``, and with one new column."""
+    kept = [column for column in batch.schema.names if not column.startswith("_")]
+    return pa.RecordBatch.from_arrays([*(batch.column(column) for column in kept), values], names=[*kept, name])
 
 
 def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None) -> DataFrame:

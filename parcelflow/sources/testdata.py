@@ -17,7 +17,7 @@ from parcelflow.sources.tables import read_table
 
 RUN_SIZE = 512
 BUSY_DRIVERS = 17  # the last driver of the fleet stays idle
-RUN_SPACING = 1777  # seconds from one run to the next
+RUN_SPACING = 397  # seconds from one run to the next
 RUN_SPAN = 630_720_000  # seconds after which run times start over
 FIRST_RUN = "2024-10-01 00:00:00"
 LATE_MINUTE = 1050

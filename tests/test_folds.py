@@ -49,7 +49,7 @@ def flushed(rows, limits):
 @pytest.mark.parametrize(
     "limits", [Limits(20, 30, 500.0), Limits(1, 1), Limits(1e9, 1e9), Limits(300, 200, 9000.0), Limits(0.3, 5)]
 )
-@pytest.mark.parametrize("slices", [None, 1, 9])
+@pytest.mark.parametrize("slices", [None, 9])
 def test_threshold_groups(spark, limits, slices):
     rows, orders = make_orders(spark, 7, 2000)
     got = threshold_groups(orders, limits=limits, slices=slices)
@@ -75,8 +75,7 @@ def loaded(rows, length, limits):
     return result
 
 
-@pytest.mark.parametrize("group_limit", [10_000, 200, 40])
-@pytest.mark.parametrize("slices", [None, 5])
+@pytest.mark.parametrize("group_limit,slices", [(10_000, None), (200, None), (40, 5)])
 def test_lorry_loads_in_rounds(spark, group_limit, slices):
     """Whole numbers, sizes from nothing to more than a lorry, one window with most of the rows."""
     rnd = random.Random(3)
