@@ -61,6 +61,14 @@ CUSTOMER_PREFIX = "cus-"
 DEPOT_PREFIX = "depot_"
 UNKNOWN_HOUR = "UNKNOWN"
 PRIORITIES = ("low", "regular", "high")
+DRIVER_RULES = {
+    "type": ["A", "B"],
+    "strict_start": True,
+    "breaks": [
+        {"id": "lunch", "start": "12:00", "end": "13:00"},
+        {"id": "client call", "start": "15:00", "end": "15:30", "in_transit": True},
+    ],
+}
 ROUTING_OPTIONS = {"traffic": "slow", "balance": True, "shortest_distance": True, "polylines": True}
 
 # Thresholds of the packing, flushing and lorry-loading jobs.
@@ -79,6 +87,7 @@ class Settings:
     visit: Visit = field(default_factory=Visit)
     pack: Limits = PACK_LIMITS
     options: dict = field(default_factory=lambda: dict(ROUTING_OPTIONS))
+    driver_rules: dict = field(default_factory=dict)  # further settings of every driver, such as DRIVER_RULES
 
 
 def driver_ids(count: int = Fleet.drivers) -> list[str]:

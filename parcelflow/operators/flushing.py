@@ -28,9 +28,10 @@ from parcelflow.operators.packing import FIFO
 from parcelflow.operators.slices import (
     GROUP_LIMIT,
     group_key,
+    group_sizes,
     key_runs,
-    largest_group,
     numbers_of,
+    slices_for,
     sorted_slices,
     with_result,
 )
@@ -244,11 +245,12 @@ def threshold_groups(
         }
     )
     out = StructType([*orders.schema.fields]).add(name, LongType())
-    if slices is None and largest_group(orders, keys) <= group_limit:
+    largest, rows = group_sizes(orders, keys) if slices is None else (None, 0)
+    if largest is not None and largest <= group_limit:
         by_key = prepared.repartition("_key").sortWithinPartitions("_key", *order)
         numbered = by_key.mapInArrow(_number_sorted(limits, name), out)
     else:
-        cut = sorted_slices(prepared, ["_key"], order, slices)
+        cut = sorted_slices(prepared, ["_key"], order, slices or slices_for(rows))
         notes = cut.select("_slice", "_key", "_weight", "_volume", "_at").mapInArrow(_first_and_last(limits), _ddl(_NOTES))
         entries = notes.groupBy("_key").applyInPandas(_enter_slices(limits), _ddl(_ENTRIES))
         # One row per slice at most: a slice can only continue the key it starts with.

@@ -24,8 +24,8 @@ from parcelflow.operators.packing import FIFO, listed
 from parcelflow.operators.slices import (
     GROUP_LIMIT,
     group_key,
+    group_sizes,
     key_runs,
-    largest_group,
     numbers_of,
     running_totals,
     with_result,
@@ -128,7 +128,7 @@ def lorry_loads(
         }
     )
     decided: list[DataFrame] = []
-    while largest_group(work, ["_key"]) > group_limit:
+    while group_sizes(work, ["_key"])[0] > group_limit:
         done, left = _round(work, order, group_limit, slices)
         decided.extend(done)
         work = stored(left, "lorry-left")

@@ -46,6 +46,7 @@ def fleet_plan(settings: config.Settings = config.Settings(), last_depot: bool =
                 "shift_end": fleet.shift_end,
                 "min_visits": fleet.min_visits,
                 "capacity": {"weight": fleet.weight, "volume": fleet.volume},
+                **settings.driver_rules,
             }
     return plan
 
@@ -106,11 +107,18 @@ def loaded_visit_column(
     name: Column | None = None,
     weight: Column | None = None,
     volume: Column | None = None,
+    start: Column | None = None,
+    end: Column | None = None,
+    duration: Column | None = None,
 ) -> Column:
     """A visit with rounded coordinates, its load in whole units and a priority.
 
-    Orders that lack an address or a load get the usual ones.
+    Orders that lack an address, a load or a time window of their own get the usual ones.
     """
+
+    def own_or(own: Column | None, usual: str | int) -> Column:
+        return F.lit(usual) if own is None else F.coalesce(own, F.lit(usual))
+
     name = F.col("customer_id") if name is None else name
     weight = F.col("total_weight") if weight is None else weight
     volume = F.col("total_volume") if volume is None else volume
@@ -120,9 +128,9 @@ def loaded_visit_column(
             rounded_lat(F.col("lat")).alias("lat"),
             rounded_lon(F.col("lon")).alias("lng"),
         ).alias("location"),
-        F.lit(visit.start).alias("start"),
-        F.lit(visit.end).alias("end"),
-        F.lit(visit.duration).alias("duration"),
+        own_or(start, visit.start).alias("start"),
+        own_or(end, visit.end).alias("end"),
+        own_or(duration, visit.duration).alias("duration"),
         F.struct(
             whole_load(F.coalesce(weight, F.lit(10.0))).alias("weight"),
             whole_load(F.coalesce(volume, F.lit(200.0))).alias("volume"),

@@ -21,10 +21,16 @@ from parcelflow.session import checkpointed, stored
 GROUP_LIMIT = 2_000_000
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest group; only the key columns are read and only one number is returned."""
+def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """Rows of the largest group and of all groups; only key columns are read, only two numbers come back."""
     sizes = df.groupBy(*keys).count()
-    return sizes.agg(F.max("count")).first()[0] or 0
+    largest, rows = sizes.agg(F.max("count"), F.sum("count")).first()
+    return largest or 0, rows or 0
+
+
+def slices_for(rows: int) -> int:
+    """Slices no larger, on average, than a group that one task may hold."""
+    return max(1, -(-rows // GROUP_LIMIT))
 
 
 def group_key(keys: Sequence[str]) -> Column:
@@ -51,22 +57,17 @@ def with_result(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.Record
     return pa.RecordBatch.from_arrays([*(batch.column(column) for column in kept), values], names=[*kept, name])
 
 
-def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None) -> DataFrame:
-    columns = [F.col(name) for name in (*keys, *order)]
-    ranged = df.repartitionByRange(slices, *columns) if slices else df.repartitionByRange(*columns)
+def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int) -> DataFrame:
+    ranged = df.repartitionByRange(slices, *[F.col(name) for name in (*keys, *order)])
     return ranged.withColumn("_slice", F.spark_partition_id().cast("bigint"))
 
 
-def stored_slices(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None = None
-) -> DataFrame:
+def stored_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int) -> DataFrame:
     """Rows with the number of their slice, stored: range borders are sampled, so they must be cut once only."""
     return stored(_cut(df, keys, order, slices), "slices")
 
 
-def sorted_slices(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None = None
-) -> DataFrame:
+def sorted_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int) -> DataFrame:
     """Like :func:`stored_slices`, but every partition *is* a slice, with its rows in order."""
     return checkpointed(_cut(df, keys, order, slices).sortWithinPartitions(*keys, *order))
 
@@ -84,12 +85,13 @@ def running_totals(
     ``order`` should tell all rows of a group apart. Rows equal in it stay in one slice; for tables
     with many equal copies append :func:`parcelflow.sources.tables.with_row_identity`.
     """
-    if slices is None and largest_group(df, keys) <= group_limit:
+    largest, rows = group_sizes(df, keys) if slices is None else (None, 0)
+    if largest is not None and largest <= group_limit:
         so_far = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumns({name: F.sum(value).over(so_far) for name, value in totals.items()})
 
     # The group as one struct: equal to itself even where a key is NULL, so the join below keeps such rows.
-    cut = stored_slices(df, keys, order, slices).withColumn("_group", F.struct(*keys))
+    cut = stored_slices(df, keys, order, slices or slices_for(rows)).withColumn("_group", F.struct(*keys))
     earlier = Window.partitionBy("_group").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         cut.groupBy("_group", "_slice")

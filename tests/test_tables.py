@@ -72,6 +72,23 @@ def test_fleet_forms(spark):
     assert last == {"depot_3"}
     crowded = config.Settings(fleet=config.Fleet(drivers=30))
     assert len(requests.fleet_plan(crowded)) == 18  # three depots of six drivers
+    ruled = requests.fleet_plan(config.Settings(driver_rules=config.DRIVER_RULES))["driver_18"]
+    assert ruled["strict_start"] and [pause["id"] for pause in ruled["breaks"]] == ["lunch", "client call"]
+
+
+def test_usual_values_fill_gaps_of_a_visit(spark):
+    row = spark.sql("""SELECT 'o1' order_id, string(null) customer_id, 40.12345678d lat, -3.123456789d lon,
+                       double(null) total_weight, 2.1d total_volume, '10:00' start, int(null) duration""")
+    visit = requests.loaded_visit_column(start=F.col("start"), duration=F.col("duration"))
+    got = row.select(visit.alias("v")).first().v.asDict(recursive=True)
+    assert got.pop("priority") in config.PRIORITIES
+    assert got == {
+        "location": {"name": "Unknown", "lat": 40.123457, "lng": -3.1234568},
+        "start": "10:00",
+        "end": "18:00",
+        "duration": 5,
+        "load": {"weight": 10, "volume": 3},
+    }
 
 
 def test_large_batches_become_several_requests(spark, gold):
