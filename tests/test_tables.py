@@ -172,6 +172,19 @@ def test_served_orders_are_marked_with_the_latest_time(spark, answers):
     assert [r.order_id for r in solutions.dispatched_orders(orders, served).collect()] == ["a"]
 
 
+def test_dispatch_and_report_jobs(spark, tmp_path, answers):
+    shape = "order_id string, customer_id string, status string, order_timestamp timestamp"
+    rows = [("a", "cus-1", "READY", datetime(2024, 10, 1)), ("b", "cus-9", "READY", datetime(2024, 10, 1))]
+    sinks.append(spark.createDataFrame(rows, shape), f"{tmp_path}/orders")
+    day = F.lit("2024-10-05").cast("date")
+    path = jobs.dispatch_served(spark, f"{tmp_path}/orders", answers, f"{tmp_path}/versions", day)
+    assert {r.order_id: r.status for r in spark.read.parquet(path).collect()} == {"a": "DISPATCHED", "b": "READY"}
+    assert tables.read_table(spark, f"{tmp_path}/orders").filter("status = 'READY'").count() == 2  # old version stays
+    jobs.build_report_table(spark, f"{tmp_path}/table", f"{tmp_path}/report")
+    report = tables.read_table(spark, f"{tmp_path}/report")
+    assert report.count() == 2 and "output_polylines" not in report.columns and "output_solution" in report.columns
+
+
 def test_views_and_catalog(spark, tmp_path, answers):
     sinks.overwrite(solutions.report_rows(answers), f"{tmp_path}/report", ["finished_at"])
     report = tables.read_table(spark, f"{tmp_path}/report", schema=solutions.report_rows(answers).schema)
