@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from parcelflow.plans import registry
 from tests.compare import database, difference
 from tests.conftest import SMALL
 
@@ -12,7 +13,7 @@ def connection():
     return database(SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, connection, name):
     assert difference(spark, connection, SMALL, name) is None
 
@@ -24,4 +25,4 @@ def test_entry(spark):
 
 def test_every_sql_belongs_to_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"stream_threshold_flush"}
+    assert set(registry.QUERIES) - set(contract.oracle_sql()) == {"stream_threshold_flush"}
