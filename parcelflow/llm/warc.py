@@ -113,9 +113,10 @@ def with_references(pages: DataFrame) -> DataFrame:
 
 def _sample(pages: DataFrame, seed: int = 11) -> list[bytes]:
     """Records of at most SAMPLE_RECORDS pages, cut to SAMPLE_BYTES: what the dictionary is built from."""
+    keep = -(-1_000_000 * SAMPLE_RECORDS // max(pages.count(), SAMPLE_RECORDS))
     rows = (
-        pages.select("page_id", "url", F.substring(F.col("html").cast("string"), 1, SAMPLE_BYTES).alias("html"))
-        .orderBy(F.xxhash64("page_id", F.lit(seed)), "page_id")
+        pages.where(F.pmod(F.xxhash64("page_id", "url", F.lit(seed)), F.lit(1_000_000)) < keep)
+        .select("page_id", "url", F.substring(F.col("html").cast("string"), 1, SAMPLE_BYTES).alias("html"))
         .limit(SAMPLE_RECORDS)
         .collect()
     )
