@@ -7,10 +7,13 @@ same in every process.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Bytes of text worked on at once; a longer text is worked on alone.
 CHUNK = 2 << 20
@@ -186,3 +189,28 @@ class WordTable:
             self.ids = np.concatenate((self.ids, ids))
             at = np.searchsorted(self.keys, keys)
         return self.begin[at][place], self.size[at][place]
+
+
+def map_texts(docs: DataFrame, build: Callable[[], Callable], fields: str, text: str = "text") -> DataFrame:
+    """Replace the text column by ``fields`` computed from whole texts; the other columns go along untouched.
+
+    ``build`` runs once per task and gives a function from bytes and offsets to one array per field, with one
+    value per text; or to those arrays and, first, the index of the text of each value (rows may multiply).
+    """
+    carried = [c for c in docs.columns if c != text]
+    added = StructType.fromDDL(fields)
+    schema = StructType([docs.schema[c] for c in carried] + added.fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = build()
+        for batch in batches:
+            for i, j, data, offsets in chunks(batch.column(0)):
+                arrays = work(data, offsets)
+                rows = None
+                if len(arrays) > len(added.fields):
+                    rows, arrays = pa.array(arrays[0] + i), arrays[1:]
+                own = [batch.column(k + 1) for k in range(len(carried))]
+                own = [c.slice(i, j - i) if rows is None else c.take(rows) for c in own]
+                yield pa.RecordBatch.from_arrays([*own, *(pa.array(a) for a in arrays)], names=schema.names)
+
+    return docs.select(F.col(text).cast("string").alias(text), *carried).mapInArrow(run, schema)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from parcelflow.llm.bestfit import op7_best_fit
+from parcelflow.llm.quality import op8_fertility
 from parcelflow.llm.shards import op10_feistel_shards
+from parcelflow.llm.toxicity import op1_kneser_ney
 from parcelflow.llm.warc import op5_warc
 
-QUERIES = {f.__name__: f for f in (op5_warc, op7_best_fit, op10_feistel_shards)}
+QUERIES = {f.__name__: f for f in (op1_kneser_ney, op5_warc, op7_best_fit, op8_fertility, op10_feistel_shards)}
 SQL: dict[str, str] = {}
