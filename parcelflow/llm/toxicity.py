@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow.llm import kernel
+from parcelflow.llm.words import bare_words
 from parcelflow.session import stored
 
 #: Buckets of words and of word pairs; together they bound the model to about 16 MB.
@@ -31,26 +32,6 @@ SPANS = (1, 4, 16)
 FEATURES = 2 + len(SPANS)
 
 _START = np.uint64(0x5EED)
-_PUNCT = np.zeros(257, dtype=bool)
-_PUNCT[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
-
-
-def bare_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of lower-cased words without punctuation around them, and the first word of each text."""
-    starts, ends, firsts = kernel.words(data, offsets)
-    padded = np.append(data, 0)
-    for _ in range(6):
-        trim = _PUNCT[padded[ends - 1]] & (ends - starts > 1)
-        if not trim.any():
-            break
-        ends = ends - trim
-    for _ in range(6):
-        trim = _PUNCT[padded[starts]] & (ends - starts > 1)
-        if not trim.any():
-            break
-        starts = starts + trim
-    return kernel.word_hashes(data, starts, ends, lower=True), firsts
-
 
 def pair_ids(hashes: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bucket of each word and of the word before it (a text starts after a marker)."""
