@@ -9,6 +9,7 @@ groups, which are packed again.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -32,15 +33,55 @@ _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, bin long, offset long, gap long, spare long"
 
 
+#: Words that the vocabulary's normaliser only lower-cases: printable ASCII but the apostrophe, and Latin-1 letters.
+_PLAIN = re.compile("[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+#: What it then cuts such words into: letters, single digits, and the rest.
+_RUNS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+#: Runs of letters remembered by one task.
+_REMEMBERED = 200_000
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if visible, else one from U+0100 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
 def word_encoder(path: str):
-    """Function from words as bytes to id lists, by a vocabulary whose pieces never cross white space."""
+    """Function from words as bytes to id lists, by the lower-case vocabulary whose pieces never cross white space.
+
+    Plain words go to the vocabulary's merges at once; all others take the tokenizer's own way.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    return lambda found: [
-        e.ids for e in tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in found], add_special_tokens=False)
-    ]
+    merges, letters, known = tokenizer.model, _byte_letters(), {}
+
+    def run_ids(run: str) -> list[int]:
+        ids = known.get(run)
+        if ids is None:
+            if len(known) >= _REMEMBERED:
+                known.clear()
+            shown = run if run.isascii() else "".join(letters[b] for b in run.encode())
+            ids = known[run] = [t.id for t in merges.tokenize(shown)]
+        return ids
+
+    def encode(found: list[bytes]) -> list[list[int]]:
+        words = [w.decode("utf-8", "replace") for w in found]
+        out: list = [None] * len(words)
+        other = []
+        for k, word in enumerate(words):
+            if len(word) < 1000 and "<|" not in word and _PLAIN.fullmatch(word):
+                out[k] = [i for run in _RUNS.findall(word.lower()) for i in run_ids(run)]
+            else:
+                other.append(k)
+        for k, e in zip(other, tokenizer.encode_batch_fast([words[k] for k in other], add_special_tokens=False), strict=True):
+            out[k] = e.ids
+        return out
+
+    return encode
 
 
 def pieces(docs: DataFrame, capacity: int = 4096, end_id: int = 1, vocabulary: str = VOCABULARY, with_ids: bool = False) -> DataFrame:

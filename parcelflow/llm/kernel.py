@@ -156,7 +156,7 @@ class WordTable:
     full, so its memory doesn't grow with the data.
     """
 
-    def __init__(self, encode, limit: int = 200_000):
+    def __init__(self, encode, limit: int = 500_000):
         self.encode, self.limit = encode, limit
         self._clear()
 
