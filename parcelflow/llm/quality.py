@@ -19,6 +19,7 @@ FENCE = 4.0
 SLACK = 0.1
 #: Short texts vary more: each band is this much wider, divided by the square root of the text's tokens.
 SHORT = 4.0
+LANES = 64
 
 _SYMBOLS = np.zeros(256, dtype=bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
@@ -162,7 +163,10 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
         & (F.col("byte_share") <= F.col("most_bytes") + short)
         & (F.col("token_entropy") >= F.col("least_entropy") - short)
     )
-    judged = measured.join(bands(measured), "_lang", "left")
+    # Most documents may share one language: each band is there LANES times, and documents take turns.
+    wide = bands(measured).withColumn("_lane", F.explode(F.sequence(F.lit(0), F.lit(LANES - 1))))
+    measured = measured.withColumn("_lane", F.pmod(F.xxhash64("doc_id", "n_tokens", "word_chars"), F.lit(LANES)).cast("int"))
+    judged = measured.join(wide, ["_lang", "_lane"], "left")
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & F.coalesce(inside, F.lit(False))).alias("kept"),
