@@ -11,20 +11,29 @@ from parcelflow.session import stored
 FILTER_BITS = 27
 
 
-def likely(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows whose key may be among ``keys``: all that are, and few others.
+def bits_of(hashes: DataFrame, name: str, most: int = FILTER_BITS) -> tuple[DataFrame, int]:
+    """Filter over a long column of well-mixed hashes: blocks of 32768 bits (_block, _bits), and the filter's size in bits.
 
-    A filter of fixed size, at most 2^FILTER_BITS bits in blocks of 32768, goes to every task. It only saves moving
-    rows that the exact join after it would drop.
+    The top bits of a hash are its place. 16 bits a hash, 2^``most`` bits at most, so the filter's size is bounded.
     """
-    bits = min(FILTER_BITS, max(16, (16 * max(keys.count(), 1)).bit_length()))
-    place = F.shiftrightunsigned(F.xxhash64(key), 64 - bits)
-    blocks = keys.select(place.alias("_place")).groupBy(F.shiftright("_place", 15).alias("_block"))
-    blocks = blocks.agg(F.bitmap_construct_agg(F.col("_place").bitwiseAND(F.lit(32767))).alias("_bits"))
-    marked = rows.withColumn("_place", place).withColumn("_block", F.shiftright("_place", 15))
-    marked = marked.join(F.broadcast(blocks), "_block")  # at most 2^FILTER_BITS / 8 bytes
+    bits = min(most, max(16, (16 * max(hashes.count(), 1)).bit_length()))
+    place = F.shiftrightunsigned(name, 64 - bits)
+    blocks = hashes.select(place.alias("_place")).groupBy(F.shiftright("_place", 15).alias("_block"))
+    return blocks.agg(F.bitmap_construct_agg(F.col("_place").bitwiseAND(F.lit(32767))).alias("_bits")), bits
+
+
+def guessed(rows: DataFrame, keys: DataFrame, key: str, name: str = "_maybe") -> DataFrame:
+    """Add whether a row's key may be among ``keys``: never false for one that is, and seldom true for others."""
+    blocks, bits = bits_of(keys.select(F.xxhash64(key).alias("_hash")), "_hash")
+    marked = rows.withColumn("_place", F.shiftrightunsigned(F.xxhash64(key), 64 - bits)).withColumn("_block", F.shiftright("_place", 15))
+    marked = marked.join(F.broadcast(blocks), "_block", "left")  # at most 2^FILTER_BITS / 8 bytes
     byte = "ascii(decode(substring(_bits, cast((_place & 32767) >> 3 as int) + 1, 1), 'ISO-8859-1'))"
-    return marked.where(F.expr(f"({byte} >> cast(_place & 7 as int)) & 1 = 1")).drop("_block", "_bits", "_place")
+    return marked.withColumn(name, F.coalesce(F.expr(f"({byte} >> cast(_place & 7 as int)) & 1 = 1"), F.lit(False))).drop("_block", "_bits", "_place")
+
+
+def likely(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose key may be among ``keys``: all that are, and few others. It saves moving rows that a join would drop."""
+    return guessed(rows, keys, key).where("_maybe").drop("_maybe")
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:

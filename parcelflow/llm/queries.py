@@ -10,8 +10,9 @@ from parcelflow.llm.decontaminate import op6_simhash_windows
 from parcelflow.llm.licenses import op4_license_scan
 from parcelflow.llm.quality import op8_fertility
 from parcelflow.llm.shards import op10_feistel_shards
+from parcelflow.llm.suffixes import op2_suffix_array
 from parcelflow.llm.toxicity import op1_kneser_ney
 from parcelflow.llm.warc import op5_warc
 
-QUERIES = {f.__name__: f for f in (op1_kneser_ney, op3_chained_passages, op4_license_scan, op5_warc, op6_simhash_windows, op7_best_fit, op8_fertility, op9_chosen_path, op10_feistel_shards)}
+QUERIES = {f.__name__: f for f in (op1_kneser_ney, op2_suffix_array, op3_chained_passages, op4_license_scan, op5_warc, op6_simhash_windows, op7_best_fit, op8_fertility, op9_chosen_path, op10_feistel_shards)}
 SQL: dict[str, str] = {"op4_license_scan": licenses.SQL}

@@ -13,26 +13,30 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow.llm import kernel
+from parcelflow.llm.keys import likely
 from parcelflow.llm.words import bare_words
 from parcelflow.session import stored
 
-#: Buckets of words and of word pairs; together they bound the model to about 16 MB.
+#: Buckets of words, and of word pairs (a prime); together they bound the model to about 12 MB.
 WORD_BITS = 18
-PAIR_BITS = 20
+PAIR_BUCKETS = 524_287
+#: Taken off each count of kinds. Pairs lose a whole count, so one seen once speaks through its words alone.
 DISCOUNT = 0.75
+PAIR_DISCOUNT = 1.0
 #: The curve is fitted on at most about so many training rows, each scored by counts of the half it isn't in.
 CURVE_ROWS = 20_000
 #: Words of the spans whose best mean ratio is a feature, beside the means over the text.
 SPANS = (1, 4, 16)
 FEATURES = 2 + len(SPANS)
+_WORD_MASK = (1 << WORD_BITS) - 1
 
 _START = np.uint64(0x5EED)
 
+
 def pair_ids(hashes: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bucket of each word and of the word before it (a text starts after a marker)."""
     word = hashes >> np.uint64(64 - WORD_BITS)
@@ -44,7 +48,7 @@ def pair_ids(hashes: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def pair_bucket(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return (kernel.mix(before << np.uint64(WORD_BITS) | word) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+    return ((before << np.uint64(WORD_BITS) | word) % np.uint64(PAIR_BUCKETS)).astype(np.int64)
 
 
 def held_out(key: Column) -> Column:
@@ -85,8 +89,8 @@ class Model:
         logs = []
         for c in (0, 1):
             total = np.maximum(self.context_counts[c][before], 1)
-            own = np.maximum(self.pair_counts[c][bucket] - DISCOUNT, 0)
-            back = np.where(self.context_counts[c][before] > 0, DISCOUNT * self.context_kinds[c][before] / total, 1.0)
+            own = np.maximum(self.pair_counts[c][bucket] - PAIR_DISCOUNT, 0)
+            back = np.where(self.context_counts[c][before] > 0, PAIR_DISCOUNT * self.context_kinds[c][before] / total, 1.0)
             logs.append(np.log(own / total + np.minimum(back, 1) * self.unigram[c][word]))
         return logs[1] - logs[0], self.word_ratio[word]
 
@@ -111,37 +115,39 @@ def features(ratios: tuple[np.ndarray, np.ndarray], firsts: np.ndarray) -> np.nd
     return np.clip(out, -20, 20)
 
 
-def tables(counts: DataFrame) -> dict[str, np.ndarray]:
-    """Count tables of both classes from all word pairs; each result has as many rows as its table at most."""
-    mask = F.lit((1 << WORD_BITS) - 1)
-    word, before = F.col("pair").bitwiseAND(mask), F.shiftright("pair", WORD_BITS)
-    shape = (2, 1 << WORD_BITS)
-
-    def filled(df: DataFrame, shape: tuple[int, int], value: str) -> np.ndarray:
-        rows = df.select("toxic", "key", value).toArrow()  # at most one row per bucket and class
-        out = np.zeros(shape, dtype=np.float32)
-        out[rows["toxic"].to_numpy(), rows["key"].to_numpy()] = rows[value].to_numpy()
-        return out
-
-    by_context = counts.groupBy("toxic", before.alias("key")).agg(F.sum("count").alias("total"), F.count("*").alias("kinds"))
-    by_word = counts.groupBy("toxic", word.alias("key")).agg(F.count("*").alias("kinds"))
-    by_context = by_context.persist()
-    out = {
-        "context_counts": filled(by_context, shape, "total"),
-        "context_kinds": filled(by_context, shape, "kinds"),
-        "continuations": filled(by_word, shape, "kinds"),
-    }
-    by_context.unpersist()
-
-    # Pair buckets are computed as the scoring tasks do, from the pair's number.
-    def bucket(batches):
-        for batch in batches:
-            pair = batch.column(1).to_numpy().astype(np.uint64)
-            key = (kernel.mix(pair) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(key), batch.column(2)], names=["toxic", "key", "count"])
-
-    hashed = counts.select("toxic", "pair", "count").mapInArrow(bucket, "toxic int, key long, count long").groupBy("toxic", "key").agg(F.sum("count").alias("count"))
-    out["pair_counts"] = filled(hashed, (2, 1 << PAIR_BITS), "count")
+def tables(counts: DataFrame) -> list[dict[str, np.ndarray]]:
+    """Count tables of each half, both classes, from all word pairs of (half, toxic, pair, count).
+
+    Contexts, words and pairs are summed in one aggregation, so the pairs are moved once. The result has at most
+    one row for each bucket of each table.
+    """
+    pair = F.col("pair")
+    single = F.lit(1).cast("long")
+    many = F.when(F.col("count") > 1, F.struct(F.lit(2).alias("kind"), F.pmod(pair, F.lit(PAIR_BUCKETS)).alias("key"), F.col("count").alias("n")))
+    entries = F.array(
+        F.struct(F.lit(0).alias("kind"), F.shiftright(pair, WORD_BITS).alias("key"), F.col("count").alias("n")),
+        F.struct(F.lit(1).alias("kind"), pair.bitwiseAND(F.lit(_WORD_MASK)).alias("key"), single.alias("n")),
+        many,
+    )
+    rows = counts.select("half", "toxic", F.explode(F.array_compact(entries)).alias("e"))
+    place = F.shiftleft((F.col("e.kind") * 4 + F.col("half") * 2 + F.col("toxic")).cast("long"), 20).bitwiseOR(F.col("e.key"))
+    found = rows.select(place.alias("place"), "e.n").groupBy("place").agg(F.sum("n").alias("n"), F.count("*").cast("int").alias("kinds")).toArrow()
+    place, n, kinds = (found[c].to_numpy() for c in ("place", "n", "kinds"))
+    group, key = place >> 20, place & ((1 << 20) - 1)
+    out = []
+    for half in (0, 1):
+        arrays = {}
+        for name, kind, values, size in (
+            ("context_counts", 0, n, 1 << WORD_BITS),
+            ("context_kinds", 0, kinds, 1 << WORD_BITS),
+            ("continuations", 1, n, 1 << WORD_BITS),
+            ("pair_counts", 2, n, PAIR_BUCKETS),
+        ):
+            arrays[name] = np.zeros((2, size), dtype=np.float32)
+            for toxic in (0, 1):
+                own = group == kind * 4 + half * 2 + toxic
+                arrays[name][toxic, key[own]] = values[own]
+        out.append(arrays)
     return out
 
 
@@ -200,23 +206,22 @@ def _featured(rows: DataFrame, model: Model) -> DataFrame:
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Model of the labelled rows that aren't held out. Several labels of one document count as toxic if any is."""
-    marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    known = docs.where(~held_out(F.col("doc_id"))).select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    fit = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    marks = fit.groupBy("doc_id").agg(F.when(F.max("toxic") > 0, 1).otherwise(0).alias("toxic"))
+    known = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     half = F.pmod(F.xxhash64("text"), F.lit(2)).cast("int")  # copies stay together
-    toxic = F.when(F.col("toxic") > 0, 1).otherwise(0)
-    rows = known.join(marks, "doc_id").select("text", toxic.alias("toxic"), half.alias("half"))
-    rows = stored(rows, "labelled")
-    counts = stored(pair_counts(rows), "pairs")
-    many = rows.count()
-    picked = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1_000_000)) < -(-1_000_000 * CURVE_ROWS // max(many, CURVE_ROWS))
+    rows = likely(known, marks, "doc_id").join(marks, "doc_id").select("text", "toxic", half.alias("half"))
+    first, second = tables(pair_counts(rows))
+    keep = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_000)) < -(-1_000_000 * CURVE_ROWS // max(marks.count(), CURVE_ROWS))
+    few = marks.where(keep)  # about CURVE_ROWS labels
+    sample = stored(likely(known, few, "doc_id").join(few, "doc_id").select("text", "toxic", half.alias("half")), "curve")
     found = []
-    for k in (0, 1):
-        other = model_of(tables(counts.where(F.col("half") != k)))
-        found.append(_featured(rows.where(picked & (F.col("half") == k)), other).toPandas())
+    for k, other in ((0, second), (1, first)):
+        found.append(_featured(sample.where(F.col("half") == k), model_of(other)).toPandas())
     sample = pd.concat(found)
     weights = fit_curve(sample[[f"f{k}" for k in range(FEATURES)]].to_numpy(), sample["toxic"].to_numpy())
-    both = counts.groupBy("toxic", "pair").agg(F.sum("count").alias("count"))
-    return replace(model_of(tables(both)), weights=weights)
+    both = {name: first[name] + second[name] for name in first}
+    return replace(model_of(both), weights=weights)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
