@@ -213,7 +213,8 @@ class Scanner:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text", text: str = "text") -> DataFrame:
     """Leaks of benchmark items: the other columns of ``docs``, then item_id, start_word, n_words, start_byte, end_byte, similarity.
 
-    Windows of a document that is shorter than an item are the whole document. Null, empty and word-less texts and
+    Windows of a document that is shorter than an item are the whole document. An item of fewer words than a
+    shingle is one shingle of all its words, so only a text of just these words is as similar. Null, empty and word-less texts and
     items have no leaks. Overlapping windows of one item are one leak, the most similar (the first of equal
     ones). Repeated documents and items are looked up each. An empty table on either side gives no rows.
     """
