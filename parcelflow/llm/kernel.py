@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 #: Bytes of text worked on at once; a longer text is worked on alone.
@@ -200,6 +201,7 @@ def map_texts(docs: DataFrame, build: Callable[[], Callable], fields: str, text:
     carried = [c for c in docs.columns if c != text]
     added = StructType.fromDDL(fields)
     schema = StructType([docs.schema[c] for c in carried] + added.fields)
+    types = [to_arrow_type(f.dataType) for f in added.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = build()
@@ -211,6 +213,6 @@ def map_texts(docs: DataFrame, build: Callable[[], Callable], fields: str, text:
                     rows, arrays = pa.array(arrays[0] + i), arrays[1:]
                 own = [batch.column(k + 1) for k in range(len(carried))]
                 own = [c.slice(i, j - i) if rows is None else c.take(rows) for c in own]
-                yield pa.RecordBatch.from_arrays([*own, *(pa.array(a) for a in arrays)], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*own, *(pa.array(a, t) for a, t in zip(arrays, types, strict=True))], names=schema.names)
 
     return docs.select(F.col(text).cast("string").alias(text), *carried).mapInArrow(run, schema)
