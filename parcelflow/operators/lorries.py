@@ -7,6 +7,8 @@ job. In a round orders of more than half the free room in weight or volume are *
 tell the load at any place. The round ends at its first turn: a small order that does not fit, or a
 big one that does. Either way less than half of the room is left afterwards, in weight or volume,
 so the number of rounds grows with the logarithm of the room, not with the number of orders.
+
+Loads are whole millionths of their unit, so both ways decide alike, whatever fractions the orders have.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructType
 
 from parcelflow.config import LORRY_LIMITS, READY_FOR_DISPATCH, RECEIVED, Limits
-from parcelflow.operators.packing import FIFO, listed
+from parcelflow.operators.packing import FIFO
 from parcelflow.operators.slices import (
     GROUP_LIMIT,
     group_key,
@@ -37,7 +39,7 @@ _WORK = ("_key", "_weight", "_volume", "_room_weight", "_room_volume")
 
 def _load_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Walk sorted rows; the first row of a window tells how much room there is."""
-    key, weight_left, volume_left = None, 0.0, 0.0
+    key, weight_left, volume_left = None, 0, 0
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -63,6 +65,10 @@ def _walk(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     return rows.repartition("_key").sortWithinPartitions("_key", *order).mapInArrow(_load_sorted, out)
 
 
+def millionths(value: Column) -> Column:
+    return F.round(value * 1e6).cast("bigint")
+
+
 def _fits(weight: Column, volume: Column) -> Column:
     return (weight <= F.col("_room_weight")) & (volume <= F.col("_room_volume"))
 
@@ -76,8 +82,8 @@ def _round(
     possible = rows.filter(_fits(weight, volume)).withColumns(
         {
             "_small": small,
-            "_small_weight": F.when(small, weight).otherwise(0.0),
-            "_small_volume": F.when(small, volume).otherwise(0.0),
+            "_small_weight": F.when(small, weight).otherwise(0),
+            "_small_volume": F.when(small, volume).otherwise(0),
             "_one": F.lit(1),
         }
     )
@@ -98,8 +104,8 @@ def _round(
     left = placed.filter(~until).join(taken, "_key", "left")
     left = left.withColumns(
         {
-            "_room_weight": F.col("_room_weight") - F.coalesce("_taken_weight", F.lit(0.0)),
-            "_room_volume": F.col("_room_volume") - F.coalesce("_taken_volume", F.lit(0.0)),
+            "_room_weight": F.col("_room_weight") - F.coalesce("_taken_weight", F.lit(0)),
+            "_room_volume": F.col("_room_volume") - F.coalesce("_taken_volume", F.lit(0)),
         }
     ).select(*rows.columns)
     never = rows.filter(~_fits(weight, volume)).withColumn("loaded", F.lit(False))
@@ -121,10 +127,10 @@ def lorry_loads(
     work = rows.withColumns(
         {
             "_key": group_key(["window_start"]),
-            "_weight": F.coalesce(F.col("total_weight").cast("double"), F.lit(0.0)),
-            "_volume": F.coalesce(F.col("total_volume").cast("double"), F.lit(0.0)),
-            "_room_weight": F.lit(limits.weight),
-            "_room_volume": F.lit(limits.volume),
+            "_weight": millionths(F.coalesce(F.col("total_weight").cast("double"), F.lit(0.0))),
+            "_volume": millionths(F.coalesce(F.col("total_volume").cast("double"), F.lit(0.0))),
+            "_room_weight": millionths(F.lit(limits.weight)),
+            "_room_volume": millionths(F.lit(limits.volume)),
         }
     )
     decided: list[DataFrame] = []
@@ -136,20 +142,13 @@ def lorry_loads(
 
 
 def lorry_split(loads: DataFrame) -> DataFrame:
-    """Loaded orders as ready for dispatch and the others as received again, one below the other."""
-    batch = loads.filter("loaded").drop("loaded").withColumn("status", F.lit(READY_FOR_DISPATCH))
-    leftover = loads.filter(~F.col("loaded")).drop("loaded").withColumn("status", F.lit(RECEIVED))
-    return batch.unionByName(leftover)
+    """Loaded orders as ready for dispatch, the others as received again; one pass over the loads."""
+    state = F.when(F.col("loaded"), F.lit(READY_FOR_DISPATCH)).otherwise(F.lit(RECEIVED))
+    return loads.withColumn("status", state).drop("loaded")
 
 
-def lorry_lists(split: DataFrame, limit: int = 10_000) -> DataFrame:
-    """Window and status with their orders as a list and its totals."""
-    item = F.struct("order_timestamp", "order_id", "customer_id", "lat", "lon", "total_volume", "total_weight")
-    lists = listed(split, ["window_start", "status"], item, "order_id", limit)
-
-    def total(name: str) -> Column:
-        return F.aggregate(
-            "items", F.lit(0.0), lambda so_far, entry: so_far + F.coalesce(entry[name], F.lit(0.0))
-        ).alias(name)
-
-    return lists.select("window_start", "status", "part", "items", total("total_volume"), total("total_weight"))
+def lorry_totals(split: DataFrame) -> DataFrame:
+    """Totals of each window's loaded orders and of those left behind; the orders themselves stay rows."""
+    return split.groupBy("window_start", "status").agg(
+        F.count("*").alias("orders"), F.sum("total_volume").alias("total_volume"), F.sum("total_weight").alias("total_weight")
+    )

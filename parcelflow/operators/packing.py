@@ -31,7 +31,7 @@ def capacity_batches(
     summed = running_totals(
         rows, [period], order, {"_weight": "total_weight", "_volume": "total_volume"}, group_limit, slices
     )
-    number = capacity_number(F.col("_weight"), F.col("_volume"), limits)
+    number = capacity_number(F.col("_weight").cast("double"), F.col("_volume").cast("double"), limits)
     return summed.select(
         *[F.lit(config.READY_FOR_DISPATCH).alias(name) if name == "status" else F.col(name) for name in rows.columns],
         number.alias("batch_id"),
@@ -78,26 +78,31 @@ def dispatchable_windows(
     )
 
 
-def listed(
-    df: DataFrame, keys: Sequence[str], item: Column, spread: str, limit: int = 10_000, distinct: bool = False
-) -> DataFrame:
-    """One sorted array of ``item`` per group, ``items``, in parts of about ``limit`` items at most.
+def window_members(orders: DataFrame, length: str = "10 minutes", at: str = "order_timestamp") -> DataFrame:
+    """Orders with the start of their window and the window's true totals.
 
-    A group within the limit is one row with part 0. A larger one becomes several rows, its items
-    spread over them by the hash of the ``spread`` column, so no row and no task holds all of it.
-    ``distinct`` merges equal items, already before the shuffle.
+    Members stay rows, however many a window has; only the totals, one row per window, are joined to them.
     """
-    sizes = df.groupBy(*keys).agg(F.ceil(F.count("*") / F.lit(limit)).alias("_parts"))
-    large = sizes.filter(F.col("_parts") > 1)
-    rows = df.select(*keys, item.alias("_item"), F.col(spread).alias("_spread"))
-    if large.isEmpty():
-        rows = rows.withColumn("part", F.lit(0).cast("bigint"))
-    else:
-        match = F.lit(True)
-        for name in keys:
-            match = match & rows[name].eqNullSafe(large[name])
-        part = F.pmod(F.xxhash64("_spread"), F.coalesce("_parts", F.lit(1)))
-        kept = [rows[name] for name in keys]
-        rows = rows.join(large, match, "left").select(*kept, "_item", part.alias("part"))
-    collected = F.collect_set("_item") if distinct else F.collect_list("_item")
-    return rows.groupBy(*keys, "part").agg(F.array_sort(collected).alias("items"))
+    rows = orders.withColumn("window_start", F.window(at, length)["start"])
+    totals = rows.groupBy("window_start").agg(
+        F.sum("total_volume").alias("accumulated_volume"),
+        F.sum("total_weight").alias("accumulated_weight"),
+        F.count("*").alias("window_orders"),
+    )
+    return rows.join(totals, "window_start", "left").select(
+        *orders.columns, "window_start", "accumulated_volume", "accumulated_weight", "window_orders"
+    )
+
+
+def dispatchable_members(
+    orders: DataFrame,
+    length: str = "1 minute",
+    floor: config.Limits = config.WINDOW_FLOOR,
+    lorry: config.Limits = config.LORRY_LIMITS,
+    at: str = "order_timestamp",
+) -> DataFrame:
+    """Orders of the windows above both floors, with what one lorry can take of their window."""
+    windows = dispatchable_windows(orders, length, floor, lorry, at)
+    kept = windows.select(F.col("window.start").alias("window_start"), "ready_volume", "ready_weight", "status")
+    rows = orders.drop("status").withColumn("window_start", F.window(at, length)["start"])
+    return rows.join(kept, "window_start")

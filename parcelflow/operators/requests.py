@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from parcelflow import config
 from parcelflow.functions.numbers import rounded_lat, rounded_lon, whole_load
-from parcelflow.operators.packing import listed
 
 _PLACE = "struct<id: string, name: string, lat: double, lng: double>"
 _FLEET = f"""map<string, struct<
@@ -139,21 +138,29 @@ def loaded_visit_column(
     )
 
 
-def batch_visits(
-    batches: DataFrame, keys: Sequence[str] = ("hour", "batch_id"), visit: Column | None = None, limit: int = 10_000
-) -> DataFrame:
-    """Visits per batch as a map from order to visit; an order that occurs twice is visited once."""
+def visit_key() -> Column:
+    """The order's id; an order without one is told apart by its customer and time, so it stays in the request."""
+    unnamed = F.concat_ws("-", F.lit("no-id"), "customer_id", F.date_format("order_timestamp", "yyyyMMddHHmmss"))
+    return F.coalesce(F.col("order_id"), unnamed)
+
+
+def batch_visits(batches: DataFrame, keys: Sequence[str] = ("hour", "batch_id"), visit: Column | None = None) -> DataFrame:
+    """Visits per batch as a map from order to visit, one row per batch.
+
+    An order that occurs twice is visited once, as its last row by time says. A batch is bounded by the packing
+    limits, so its visits fit into one row.
+    """
     wanted = visit_column() if visit is None else visit
-    entry = F.struct(F.col("order_id").alias("order_id"), wanted.alias("visit"))
-    entries = listed(batches, keys, entry, "order_id", limit, distinct=True)
-    # Equal ids are neighbours after sorting; the last one counts, as in a dictionary.
+    entry = F.struct(visit_key().alias("id"), F.col("order_timestamp").alias("at"), wanted.alias("visit"))
+    entries = batches.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("items"))
+    # Equal ids are neighbours after sorting, in order of time; the last one counts.
     items = F.col("items")
     last_of_id = F.filter(
         items,
-        lambda item, index: (index == F.size(items) - 1)
-        | (F.try_element_at(items, index + F.lit(2))["order_id"] != item["order_id"]),
+        lambda item, index: (index == F.size(items) - 1) | (F.try_element_at(items, index + F.lit(2))["id"] != item["id"]),
     )
-    return entries.select(*keys, "part", F.map_from_entries(last_of_id).alias("visits"))
+    pairs = F.transform(last_of_id, lambda item: F.struct(item["id"].alias("key"), item["visit"].alias("value")))
+    return entries.select(*keys, F.map_from_entries(pairs).alias("visits"))
 
 
 def request_documents(
@@ -162,16 +169,12 @@ def request_documents(
     settings: config.Settings = config.Settings(),
     visit: Column | None = None,
     last_depot: bool = False,
-    limit: int = 10_000,
 ) -> DataFrame:
-    """One JSON request per batch, built where the batch lies; nothing passes through the driver.
-
-    A batch of more than ``limit`` orders becomes several requests, told apart by ``part``.
-    """
+    """One JSON request per batch, built where the batch lies; nothing passes through the driver."""
     wanted = visit_column(settings.visit) if visit is None else visit
-    visits = batch_visits(batches, keys, wanted, limit)
+    visits = batch_visits(batches, keys, wanted)
     # Fleet and options are the same in every request, so their text is a constant.
     fleet = json.dumps(fleet_plan(settings, last_depot), ensure_ascii=False)
     same = f',"fleet":{fleet},"options":{json.dumps(settings.options)}}}'
     document = F.concat(F.lit('{"visits":'), F.to_json("visits"), F.lit(same))
-    return visits.select(*keys, "part", F.size("visits").alias("visits"), document.alias("document"))
+    return visits.select(*keys, F.size("visits").alias("visits"), document.alias("document"))

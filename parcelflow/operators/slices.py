@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 
 from parcelflow.session import checkpointed, stored
 
-# Rows of one group that a single task sorts and walks comfortably.
+# Rows of one group that a single task sorts and walks comfortably. It decides on the plan only: sums are exact.
 GROUP_LIMIT = 2_000_000
+# Loads are added as decimals of this type, so the order in which slices are added up can't change a sum.
+EXACT = "decimal(20,6)"
 
 
 def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
@@ -48,7 +50,7 @@ def key_runs(keys: pa.Array) -> Iterator[tuple[str, int, int]]:
 
 def numbers_of(batch: pa.RecordBatch | pa.Table, name: str) -> list[float]:
     """A number column as Python numbers, NULL as nothing."""
-    return pc.fill_null(batch.column(name), 0.0).to_pylist()
+    return pc.fill_null(batch.column(name), 0).to_pylist()
 
 
 def with_result(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
@@ -72,6 +74,11 @@ def sorted_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], slic
     return checkpointed(_cut(df, keys, order, slices).sortWithinPartitions(*keys, *order))
 
 
+def exact(total: Column) -> Column:
+    """A sum of ``EXACT`` values in the one type that all plans give."""
+    return total.cast("decimal(30,6)")
+
+
 def running_totals(
     df: DataFrame,
     keys: Sequence[str],
@@ -80,7 +87,9 @@ def running_totals(
     group_limit: int = GROUP_LIMIT,
     slices: int | None = None,
 ) -> DataFrame:
-    """Add inclusive running sums, ``{new column: summed column}``, per group in the given order.
+    """Add inclusive running sums, ``{new column: summed column}``, per group in the given order, as decimals.
+
+    Values are rounded to six decimals and added exactly, so any number of slices gives the same sums.
 
     ``order`` should tell all rows of a group apart. Rows equal in it stay in one slice; for tables
     with many equal copies append :func:`parcelflow.sources.tables.with_row_identity`.
@@ -88,25 +97,25 @@ def running_totals(
     largest, rows = group_sizes(df, keys) if slices is None else (None, 0)
     if largest is not None and largest <= group_limit:
         so_far = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumns({name: F.sum(value).over(so_far) for name, value in totals.items()})
+        return df.withColumns({name: exact(F.sum(F.col(value).cast(EXACT)).over(so_far)) for name, value in totals.items()})
 
     # The group as one struct: equal to itself even where a key is NULL, so the join below keeps such rows.
     cut = stored_slices(df, keys, order, slices or slices_for(rows)).withColumn("_group", F.struct(*keys))
     earlier = Window.partitionBy("_group").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         cut.groupBy("_group", "_slice")
-        .agg(*[F.sum(value).alias(f"_sum_{name}") for name, value in totals.items()])
+        .agg(*[F.sum(F.col(value).cast(EXACT)).alias(f"_sum_{name}") for name, value in totals.items()])
         .select("_group", "_slice", *[F.sum(f"_sum_{name}").over(earlier).alias(f"_carry_{name}") for name in totals])
     )
     inside = Window.partitionBy("_group", "_slice").orderBy(*order)
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = cut.withColumns({f"_local_{name}": F.sum(value).over(inside) for name, value in totals.items()})
+    local = cut.withColumns({f"_local_{name}": F.sum(F.col(value).cast(EXACT)).over(inside) for name, value in totals.items()})
     whole = local.join(carried, ["_group", "_slice"])
     # A sum over NULLs only is NULL, as it is in the one-task form.
     sums = [
         F.when(
             F.col(f"_local_{name}").isNotNull() | F.col(f"_carry_{name}").isNotNull(),
-            F.coalesce(f"_local_{name}", F.lit(0)) + F.coalesce(f"_carry_{name}", F.lit(0)),
+            exact(F.coalesce(F.col(f"_local_{name}"), F.lit(0)) + F.coalesce(F.col(f"_carry_{name}"), F.lit(0))),
         ).alias(name)
         for name in totals
     ]

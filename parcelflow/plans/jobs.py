@@ -35,8 +35,9 @@ def request_batches(
 
 
 def load_solutions(spark: SparkSession, answers_path: str, table_path: str, multi_line: bool = True) -> None:
+    """Answers by dispatch hour. Hours that the answers have are replaced, so a second run adds no copies."""
     answers = files.read_documents(spark, answers_path, SOLUTION, multi_line)
-    sinks.append(solutions.with_dispatch_times(answers), table_path, ["dispatched_hour"])
+    sinks.overwrite_partitions(solutions.with_dispatch_times(answers), table_path, ["dispatched_hour"])
 
 
 def build_report_table(spark: SparkSession, table_path: str, report_path: str) -> None:
@@ -48,12 +49,14 @@ def archive_routes(spark: SparkSession, table_path: str, archive_path: str) -> N
 
 
 def load_by_date(spark: SparkSession, answers: DataFrame, bronze_path: str, silver_path: str, lines_path: str) -> None:
-    """Older layout: raw answers by next day, chosen columns by day, drawing lines by run."""
-    sinks.overwrite(solutions.next_day_partition(answers), bronze_path, ["dispatched_date"])
-    bronze = tables.read_table(spark, bronze_path).drop("dispatched_date")
-    sinks.write_once(solutions.same_day_partition(bronze), silver_path, ["dispatched_date"])
-    silver = tables.read_table(spark, silver_path)
-    sinks.overwrite(solutions.route_lines(silver), lines_path, ["finished_at_clean"])
+    """Older layout: raw answers by next day, chosen columns by day, drawing lines by run.
+
+    Days that the answers have are replaced in each table, so later loads arrive and second runs add no copies.
+    """
+    sinks.overwrite_partitions(solutions.next_day_partition(answers), bronze_path, ["dispatched_date"])
+    silver = solutions.same_day_partition(answers)
+    sinks.overwrite_partitions(silver, silver_path, ["dispatched_date"])
+    sinks.overwrite_partitions(solutions.route_lines(silver), lines_path, ["finished_at_clean"])
 
 
 def dispatch_served(spark: SparkSession, orders_path: str, answers: DataFrame, root: str, as_of: Column) -> str:

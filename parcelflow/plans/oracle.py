@@ -221,7 +221,24 @@ SELECT {stamp('window_at', 'window_start')}, accumulated_volume, accumulated_wei
 FROM weekly
 WHERE accumulated_volume > {config.WINDOW_FLOOR.volume!r} AND accumulated_weight > {config.WINDOW_FLOOR.weight!r}""",
     "window_order_lists": f"""WITH {ORDERS}
-SELECT {stamp(_WEEK, 'window_start')}, order_id, total_weight FROM plain""",
+SELECT {stamp(_WEEK, 'window_start')}, order_id, total_weight, sum(total_volume) OVER w AS accumulated_volume,
+  sum(total_weight) OVER w AS accumulated_weight, count(*) OVER w AS window_orders
+FROM plain WINDOW w AS (PARTITION BY {_WEEK})""",
+    "window_dispatch_members": f"""WITH {ORDERS},
+weekly AS (
+  SELECT {_WEEK} AS window_at, order_id, sum(total_volume) OVER w AS v, sum(total_weight) OVER w AS w
+  FROM plain WINDOW w AS (PARTITION BY {_WEEK}))
+SELECT {stamp('window_at', 'window_start')}, order_id, least(v, {config.LORRY_LIMITS.volume!r}) AS ready_volume,
+  least(w, {config.LORRY_LIMITS.weight!r}) AS ready_weight, 'READY_FOR_DISPATCH' AS status
+FROM weekly WHERE v > {config.WINDOW_FLOOR.volume!r} AND w > {config.WINDOW_FLOOR.weight!r}""",
+    "fractional_capacity_batches": f"""WITH {ORDERS},
+summed AS (
+  SELECT order_id, month_start,
+    CAST(sum(CAST(total_weight / 10 AS DECIMAL(20, 6))) OVER fifo AS DOUBLE) AS cum_weight,
+    CAST(sum(CAST(total_volume / 10 AS DECIMAL(20, 6))) OVER fifo AS DOUBLE) AS cum_volume
+  FROM paid WINDOW fifo AS (PARTITION BY month_start ORDER BY ts, order_id ROWS UNBOUNDED PRECEDING))
+SELECT order_id, {_MONTH}, CAST(greatest(ceil(cum_volume / 5000.0), ceil(cum_weight / 100.0)) AS BIGINT) AS batch_id
+FROM summed""",
     "threshold_flush_batches": _FLUSHED.format(
         weight=registry.FLUSH.weight, volume=registry.FLUSH.volume, seconds=registry.FLUSH.seconds
     )
@@ -229,7 +246,7 @@ SELECT {stamp(_WEEK, 'window_start')}, order_id, total_weight FROM plain""",
     "lorry_split": f"""{_LORRIES}
 SELECT order_id, {stamp('window_at', 'window_start')}, {_LORRY_STATUS} FROM walk WHERE place > 0""",
     "lorry_lists": f"""{_LORRIES}
-SELECT {stamp('window_at', 'window_start')}, {_LORRY_STATUS}, CAST(0 AS BIGINT) AS part, count(*) AS orders,
+SELECT {stamp('window_at', 'window_start')}, {_LORRY_STATUS}, count(*) AS orders,
   sum(own_v) AS total_volume, sum(own_w) AS total_weight
 FROM walk WHERE place > 0 GROUP BY window_at, loaded""",
     "fleet_assignment": f"""WITH {ORDERS},
@@ -244,16 +261,16 @@ SELECT depot, driver_id, depot_id, '09:00' AS shift_start, '18:00' AS shift_end,
   1000.0::DOUBLE AS capacity_weight, 1000.0::DOUBLE AS capacity_volume, depot_orders, depot_weight, depot_volume
 FROM fleet LEFT JOIN waiting USING (depot)""",
     "batch_visits": f"""WITH {PACKED}
-SELECT {_MONTH}, batch_id, CAST(0 AS BIGINT) AS part, order_id, customer_id AS name, lat, lon AS lng,
+SELECT {_MONTH}, batch_id, order_id, customer_id AS name, lat, lon AS lng,
   '09:00' AS start_time, '18:00' AS end_time, CAST(5 AS BIGINT) AS duration
 FROM packed""",
     "batch_visit_loads": f"""WITH {PACKED}
-SELECT {_MONTH}, batch_id, CAST(0 AS BIGINT) AS part, order_id, customer_id AS name, lat, lon AS lng,
+SELECT {_MONTH}, batch_id, order_id, customer_id AS name, lat, lon AS lng,
   '9:00' AS start_time, CAST(ceil(total_weight) AS BIGINT) AS weight, CAST(ceil(total_volume) AS BIGINT) AS volume,
   ['low', 'regular', 'high'][CAST('0x' || substr(md5(order_id), 1, 4) AS BIGINT) % 3 + 1] AS priority
 FROM packed""",
     "request_documents": f"""WITH {PACKED}
-SELECT {_MONTH}, batch_id, CAST(0 AS BIGINT) AS part, count(*) AS visits, CAST(18 AS BIGINT) AS drivers,
+SELECT {_MONTH}, batch_id, count(*) AS visits, CAST(18 AS BIGINT) AS drivers,
   'depot_2' AS depot_of_driver_7, 'slow' AS traffic, true AS balance
 FROM packed GROUP BY month_start, batch_id""",
     "pending_jobs": f"""WITH {ORDERS}
@@ -350,11 +367,38 @@ windows AS (
 SELECT {stamp('opened', 'window_start')}, {stamp('opened + INTERVAL 2 MINUTE', 'window_end')}, total_weight, total_volume
 FROM windows WHERE opened + INTERVAL 2 MINUTE <= (SELECT max(ts) FROM plain) - INTERVAL 1 MINUTE""",
     "stream_window_lists": f"""WITH {ORDERS}
-SELECT {stamp(window_start(600), 'window_start')}, order_id, total_weight, total_volume FROM plain
-WHERE {window_start(600)} + INTERVAL 10 MINUTE <= (SELECT max(ts) FROM plain) - INTERVAL 1 MINUTE""",
-    "stream_cutoff_flush": f"""WITH {ORDERS}
-SELECT depot AS key, count(*) AS orders, sum(total_weight) AS weight, sum(total_volume) AS volume
-FROM paid GROUP BY depot""",
+SELECT {stamp(window_start(600), 'window_start')}, order_id, total_weight, total_volume,
+  sum(total_volume) OVER w AS accumulated_volume, sum(total_weight) OVER w AS accumulated_weight,
+  count(*) OVER w AS window_orders FROM plain
+WHERE {window_start(600)} + INTERVAL 10 MINUTE <= (SELECT max(ts) FROM plain) - INTERVAL 1 MINUTE
+WINDOW w AS (PARTITION BY {window_start(600)})""",
+    "stream_threshold_flush": f"""WITH RECURSIVE {ORDERS},
+lined AS (
+  SELECT depot, lane, total_weight AS w, total_volume AS v,
+         row_number() OVER (PARTITION BY depot, lane ORDER BY ts, order_id) AS place
+  FROM (SELECT *, CAST('0x' || substr(md5(order_id), 1, 4) AS BIGINT) % {registry.LANES} AS lane FROM paid)),
+walk AS (
+  SELECT depot, lane, place, CAST(0 AS BIGINT) AS release, w AS own_w, v AS own_v, w, v,
+         w >= {registry.FLUSH.weight!r} OR v >= {registry.FLUSH.volume!r} AS released
+  FROM lined WHERE place = 1
+  UNION ALL
+  SELECT n.depot, n.lane, n.place, p.release + CAST(p.released AS BIGINT), n.w, n.v,
+         CASE WHEN p.released THEN n.w ELSE p.w + n.w END, CASE WHEN p.released THEN n.v ELSE p.v + n.v END,
+         CASE WHEN p.released THEN n.w ELSE p.w + n.w END >= {registry.FLUSH.weight!r}
+           OR CASE WHEN p.released THEN n.v ELSE p.v + n.v END >= {registry.FLUSH.volume!r}
+  FROM walk p JOIN lined n ON n.depot = p.depot AND n.lane = p.lane AND n.place = p.place + 1)
+SELECT depot AS key, lane, release, count(*) AS orders, sum(own_w) AS weight, sum(own_v) AS volume
+FROM walk GROUP BY depot, lane, release HAVING bool_or(released)""",
+    "stream_cutoff_flush": f"""WITH {ORDERS},
+fed AS (
+  SELECT *, CASE WHEN ts < TIMESTAMP '{registry.FEED_DAYS[0]}' THEN 0 WHEN ts < TIMESTAMP '{registry.FEED_DAYS[1]}' THEN 1
+            ELSE 2 END AS part
+  FROM paid)
+SELECT depot AS key, CAST(part AS BIGINT) AS release, count(*) AS orders, sum(total_weight) AS weight,
+  sum(total_volume) AS volume, 'full' AS buffer
+FROM fed GROUP BY depot, part
+UNION ALL
+SELECT depot, CAST(0 AS BIGINT), count(*), sum(total_weight), sum(total_volume), 'never_full' FROM fed GROUP BY depot""",
     "stream_publish": f"""WITH {ORDERS}
 SELECT customer_id AS key, order_id, total_weight, total_price, {stamp('ts', 'order_timestamp')} FROM plain""",
 }

@@ -5,7 +5,7 @@ Times leave as text, counts as bigint, so that any SQL engine can be compared va
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -149,11 +149,16 @@ def status_transition(spark, folder):
 
 @query
 def status_counts(spark, folder):
-    rows = _mixed_statuses(spark, folder)
-    new = orders.having_status(rows, config.IN_PROGRESS).select(F.lit("new").alias("choice"), "status")
-    ready = orders.having_status(rows, config.READY_FOR_DISPATCH).select(F.lit("ready").alias("choice"), "status")
-    shown = reports.dispatch_status(rows).select(F.lit("shown").alias("choice"), "status")
-    return new.unionByName(ready).unionByName(shown).groupBy("choice", "status").agg(F.count("*").alias("orders"))
+    """All choices from one count by status: the orders are read once."""
+    counted = _mixed_statuses(spark, folder).groupBy("status").agg(F.count("*").alias("orders"))
+    chosen = F.array_compact(
+        F.array(
+            F.when(F.col("status") == config.IN_PROGRESS, "new"),
+            F.when(F.col("status") == config.READY_FOR_DISPATCH, "ready"),
+            F.when(F.col("status").isin(*reports.SHOWN_STATUSES), "shown"),
+        )
+    )
+    return counted.select(F.explode(chosen).alias("choice"), "status", "orders")
 
 
 # --- packing ------------------------------------------------------------------------------------
@@ -214,13 +219,35 @@ def window_threshold_clamp(spark, folder):
 
 @query
 def window_order_lists(spark, folder):
-    rows = testdata.flat_orders(spark, folder).withColumn("window_start", F.window("order_timestamp", WEEK)["start"])
-    lists = packing.listed(rows, ["window_start"], F.struct("order_id", "total_weight"), "order_id")
-    return lists.select(stamp("window_start").alias("window_start"), F.explode("items").alias("item")).select(
-        "window_start", "item.order_id", "item.total_weight"
+    rows = packing.window_members(testdata.flat_orders(spark, folder), WEEK)
+    return rows.select(
+        stamp("window_start").alias("window_start"),
+        "order_id",
+        "total_weight",
+        "accumulated_volume",
+        "accumulated_weight",
+        "window_orders",
     )
 
 
+@query
+def window_dispatch_members(spark, folder):
+    """Orders of the windows above both floors, with the window's load clamped to a lorry."""
+    rows = packing.dispatchable_members(testdata.flat_orders(spark, folder), WEEK)
+    return rows.select(stamp("window_start").alias("window_start"), "order_id", "ready_volume", "ready_weight", "status")
+
+
+def _fractional(rows: DataFrame) -> DataFrame:
+    """Orders with loads of one decimal, as the reference's domain has them."""
+    return rows.withColumns({"total_weight": F.col("total_weight") / 10, "total_volume": F.col("total_volume") / 10})
+
+
+@query
+def fractional_capacity_batches(spark, folder):
+    packed = packing.capacity_batches(_fractional(_gold(spark, folder)), PERIOD, Limits(100.0, 5000.0), slices=7)
+    return packed.select("order_id", stamp(PERIOD).alias(PERIOD), "batch_id")
+
+
 @query
 def threshold_flush_batches(spark, folder):
     groups = flushing.threshold_groups(_gold(spark, folder), ["depot"], FLUSH)
@@ -236,13 +263,8 @@ def lorry_split(spark, folder):
 @query
 def lorry_lists(spark, folder):
     split = lorries.lorry_split(lorries.lorry_loads(_gold(spark, folder), WEEK))
-    return lorries.lorry_lists(split).select(
-        stamp("window_start").alias("window_start"),
-        "status",
-        number("part").alias("part"),
-        number(F.size("items")).alias("orders"),
-        "total_volume",
-        "total_weight",
+    return lorries.lorry_totals(split).select(
+        stamp("window_start").alias("window_start"), "status", "orders", "total_volume", "total_weight"
     )
 
 
@@ -258,7 +280,7 @@ def fleet_assignment(spark, folder):
 def _exploded_visits(spark: SparkSession, folder: str, visit: Column) -> DataFrame:
     visits = requests.batch_visits(_packed(spark, folder), [PERIOD, "batch_id"], visit)
     return visits.select(
-        stamp(PERIOD).alias(PERIOD), "batch_id", number("part").alias("part"), F.explode("visits").alias("order_id", "v")
+        stamp(PERIOD).alias(PERIOD), "batch_id", F.explode("visits").alias("order_id", "v")
     )
 
 
@@ -267,7 +289,6 @@ def batch_visits(spark, folder):
     return _exploded_visits(spark, folder, requests.visit_column()).select(
         PERIOD,
         "batch_id",
-        "part",
         "order_id",
         "v.location.name",
         "v.location.lat",
@@ -283,7 +304,6 @@ def batch_visit_loads(spark, folder):
     return _exploded_visits(spark, folder, requests.loaded_visit_column()).select(
         PERIOD,
         "batch_id",
-        "part",
         "order_id",
         "v.location.name",
         "v.location.lat",
@@ -309,7 +329,6 @@ def request_documents(spark, folder):
     return parsed.select(
         stamp(PERIOD).alias(PERIOD),
         "batch_id",
-        number("part").alias("part"),
         number(F.size("request.visits")).alias("visits"),
         number(F.size("request.fleet")).alias("drivers"),
         F.col("request.fleet")["driver_7"]["start_location"]["id"].alias("depot_of_driver_7"),
@@ -636,8 +655,8 @@ def compacted_orders(spark, folder):
 # --- streams ------------------------------------------------------------------------------------
 
 
-def _streamed(stream: DataFrame, root: str, name: str, timers: bool = False) -> DataFrame:
-    streams.finish(streams.start(stream, f"{root}/{name}", f"{root}/checkpoint-{name}", timers=timers))
+def _streamed(stream: DataFrame, root: str, name: str, timers: bool = False, by: Sequence[str] = ()) -> DataFrame:
+    streams.finish(streams.start(stream, f"{root}/{name}", f"{root}/checkpoint-{name}", by=by, timers=timers))
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{root}/{name}")
 
 
@@ -685,7 +704,8 @@ def stream_ready_orders(spark, folder):
     root = scratch_path(spark, "stream")
     testdata.paid_orders(spark, folder).drop(PERIOD).write.parquet(f"{root}/gold")
     gold = tables.read_stream_from(spark, f"{root}/gold", schemas.GOLD_ORDER, "earliest")
-    return _gold_columns(_streamed(streams.ready_stream(gold), root, "ready"))
+    ready = streams.ready_stream(gold).withColumn("label", F.date_format("hour", "yyyy-MM"))
+    return _gold_columns(_streamed(ready, root, "ready", by=["label"]))
 
 
 @query
@@ -708,38 +728,74 @@ def stream_tumbling_totals(spark, folder):
 @query
 def stream_window_lists(spark, folder):
     root = scratch_path(spark, "stream")
-    lists = _streamed(streams.listed_window_stream(_stored_flat(spark, folder, root), lists=4), root, "lists")
-    return lists.select(stamp("window_start").alias("window_start"), F.explode("orders").alias("o")).select(
-        "window_start", "o.order_id", "o.total_weight", "o.total_volume"
+    bronze = _stored_flat(spark, folder, root)
+    totals = _streamed(streams.window_totals_stream(bronze), root, "window-totals")
+    members = _streamed(streams.window_member_stream(bronze), root, "window-members")
+    return members.join(totals, "window_start").select(
+        stamp("window_start").alias("window_start"),
+        "order_id",
+        "total_weight",
+        "total_volume",
+        "accumulated_volume",
+        "accumulated_weight",
+        "window_orders",
     )
 
 
-def _stored_paid(spark: SparkSession, folder: str, root: str) -> DataFrame:
-    """Paid orders in files of a time range each; a micro-batch takes a few files, so it stays bounded."""
-    paid = testdata.paid_orders(spark, folder).drop(PERIOD)
-    paid.repartitionByRange("order_timestamp", "order_id").write.parquet(f"{root}/paid")
-    return tables.read_stream(spark, f"{root}/paid", schemas.GOLD_ORDER, max_files=8)
+#: The days at which the flushing streams are fed the next orders, one run for each part.
+FEED_DAYS = ("1997-01-01", "1999-01-01")
+LANES = 4
+
+
+def _fed(spark: SparkSession, folder: str, root: str, run: Callable[[DataFrame, int], None]) -> None:
+    """Paid orders as a stream that gets them in time order: each part is written, then ``run`` once."""
+    paid = stored(testdata.paid_orders(spark, folder).drop(PERIOD), "paid")
+    borders = [None, *FEED_DAYS, None]
+    for part, (since, until) in enumerate(zip(borders, borders[1:], strict=False)):
+        rows = paid
+        if since:
+            rows = rows.filter(F.col("order_timestamp") >= F.lit(since).cast("timestamp"))
+        if until:
+            rows = rows.filter(F.col("order_timestamp") < F.lit(until).cast("timestamp"))
+        rows.write.mode("append").parquet(f"{root}/paid")
+        run(tables.read_stream(spark, f"{root}/paid", schemas.GOLD_ORDER), part)
 
 
 @query
 def stream_threshold_flush(spark, folder):
+    """Each depot has several buffers; a run sees later orders than the one before, so releases are those of a batch."""
     root = scratch_path(spark, "stream")
     limits = Limits(FLUSH.weight, FLUSH.volume)
-    released = flush.threshold_stream(_stored_paid(spark, folder, root), "depot", limits)
-    rows = _streamed(released, root, "released")
-    return flush.totals_by_release(rows)
+
+    def run(stream: DataFrame, part: int) -> None:
+        released = flush.threshold_stream(stream, "depot", limits, lanes=LANES)
+        streams.finish(streams.start(released, f"{root}/released", f"{root}/checkpoint"))
+
+    _fed(spark, folder, root, run)
+    totals = flush.totals_by_release(tables.read_table(spark, f"{root}/released"))
+    return totals.withColumn("lane", number("lane"))
 
 
 @query
 def stream_cutoff_flush(spark, folder):
-    """With a cut-off at midnight everything is released with the micro-batch it came in."""
+    """Tested once a run: before noon only a full buffer goes, after noon everything. One buffer is never full."""
     root = scratch_path(spark, "stream")
-    stream = _stored_paid(spark, folder, root)
-    released = flush.threshold_stream(stream, "depot", config.CUTOFF_LIMITS, per_order=False, cutoff="00:00", lanes=4)
-    rows = _streamed(released, root, "released", timers=True)
-    return rows.groupBy("key").agg(
-        F.count("*").alias("orders"), F.sum("total_weight").alias("weight"), F.sum("total_volume").alias("volume")
-    )
+    cases = {"full": config.CUTOFF_LIMITS, "never_full": Limits(1e15, 1e15)}
+    clocks = ("09:00", "11:59", config.CUTOFF_CLOCK)
+
+    def run(stream: DataFrame, part: int) -> None:
+        for case, limits in cases.items():
+            released = flush.threshold_stream(
+                stream, "depot", limits, per_order=False, cutoff=config.CUTOFF_CLOCK, clock=clocks[part]
+            )
+            streams.finish(streams.start(released, f"{root}/{case}", f"{root}/checkpoint-{case}", timers=True))
+
+    _fed(spark, folder, root, run)
+    parts = [
+        flush.totals_by_release(tables.read_table(spark, f"{root}/{case}"), ("key", "release")).withColumn("buffer", F.lit(case))
+        for case in cases
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 @query

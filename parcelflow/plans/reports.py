@@ -134,7 +134,10 @@ def top_stops_per_driver(stops: DataFrame, count: int = 20) -> DataFrame:
     return ranked.filter(F.col("rank") <= count)
 
 
+SHOWN_STATUSES = (config.DISPATCHED, config.READY_FOR_DISPATCH)
+
+
 def dispatch_status(orders: DataFrame, limit: int | None = None) -> DataFrame:
     """Orders on the way or waiting for it, all or the first few."""
-    rows = orders.filter(F.col("status").isin(config.DISPATCHED, config.READY_FOR_DISPATCH))
+    rows = orders.filter(F.col("status").isin(*SHOWN_STATUSES))
     return rows if limit is None else rows.orderBy("order_timestamp", "order_id").limit(limit)

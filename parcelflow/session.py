@@ -18,6 +18,8 @@ def build_session(app: str = "parcelflow", master: str | None = None, **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Stream state on local disk with changes in the checkpoint, instead of all in the heap.
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         # Call sites in error messages cost a stack walk per column while a plan is built.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,

@@ -26,8 +26,11 @@ def past_clock(now_ms: int, clock: str) -> bool:
     return datetime.fromtimestamp(now_ms / 1000, timezone.utc).strftime("%H:%M") >= clock
 
 
-def buffering(limits: Limits, per_order: bool, cutoff: str | None):
-    """State function: the buffer is part of the state, so a lost executor loses no order."""
+def buffering(limits: Limits, per_order: bool, cutoff: str | None, clock: str | None = None):
+    """State function: the buffer is part of the state, so a lost executor loses no order.
+
+    ``clock`` stands for the time of day, so that a past day can be run again; by default it is the present one.
+    """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         now = state.getCurrentProcessingTimeMs()
@@ -37,7 +40,7 @@ def buffering(limits: Limits, per_order: bool, cutoff: str | None):
 
         def full() -> bool:
             aged = limits.seconds is not None and now - since >= limits.seconds * 1000
-            due = cutoff is not None and past_clock(now, cutoff)
+            due = cutoff is not None and (clock >= cutoff if clock else past_clock(now, cutoff))
             return weight >= limits.weight or volume >= limits.volume or aged or due
 
         def let_go() -> None:
@@ -81,6 +84,7 @@ def threshold_stream(
     per_order: bool = True,
     cutoff: str | None = None,
     lanes: int = 1,
+    clock: str | None = None,
 ) -> DataFrame:
     """Released orders with the number of their release.
 
@@ -89,12 +93,13 @@ def threshold_stream(
     day on. A busy key gets several independent buffers with ``lanes``, as several readers of a
     partitioned log would have.
     """
-    lane = F.pmod(F.xxhash64("order_id"), F.lit(lanes)).cast("int") if lanes > 1 else F.lit(0)
+    digits = F.conv(F.substring(F.md5(F.coalesce("order_id", F.lit(""))), 1, 4), 16, 10).cast("int")
+    lane = F.pmod(digits, F.lit(lanes)).cast("int")
     rows = orders.select(F.col(key).cast("string").alias("key"), lane.alias("lane"), *_COLUMNS)
     timed = limits.seconds is not None or cutoff is not None
     timeout = GroupStateTimeout.ProcessingTimeTimeout if timed else GroupStateTimeout.NoTimeout
     return rows.groupBy("key", "lane").applyInPandasWithState(
-        buffering(limits, per_order, cutoff), RELEASED, _STATE, "append", timeout
+        buffering(limits, per_order, cutoff, clock), RELEASED, _STATE, "append", timeout
     )
 
 

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from parcelflow.config import Limits
 from parcelflow.operators.flushing import threshold_groups
-from parcelflow.operators.lorries import lorry_lists, lorry_loads, lorry_split
-from parcelflow.operators.packing import capacity_batches, listed
+from parcelflow.operators.lorries import lorry_loads, lorry_split, lorry_totals
+from parcelflow.operators.packing import capacity_batches, window_members
 from parcelflow.operators.slices import running_totals
 
 START = datetime(2024, 10, 1)
@@ -97,8 +97,9 @@ def test_lorry_split_and_lists(spark):
     assert split.count() == 300
     want = loaded(rows, 3600, Limits(60.0, 80.0))
     assert {r.order_id: r.status == "READY_FOR_DISPATCH" for r in split.collect()} == want
-    for row in lorry_lists(split).collect():
-        assert row.total_weight == sum(item.total_weight for item in row["items"])
+    totals = lorry_totals(split).collect()
+    assert sum(row.orders for row in totals) == 300
+    for row in totals:
         if row.status == "READY_FOR_DISPATCH":
             assert row.total_weight <= 60.0 and row.total_volume <= 80.0
 
@@ -137,13 +138,31 @@ def test_capacity_batches_edges(spark):
     assert {r.order_id: r.batch_id for r in got.collect()} == {"a": 0, "b": 3, "c": 3, "d": 4, "e": 4}
 
 
-def test_listed_splits_large_groups(spark):
-    _, orders = make_orders(spark, 4, 1000)
-    whole = listed(orders, ["depot"], F.col("order_id"), "order_id")
-    parts = listed(orders, ["depot"], F.col("order_id"), "order_id", limit=50)
-    assert whole.count() == orders.select("depot").distinct().count()
-    assert parts.count() > whole.count()
-    key = F.coalesce("depot", F.lit("-"))
-    flat = [df.select(key.alias("depot"), F.explode("items").alias("id")) for df in (whole, parts)]
-    assert flat[0].exceptAll(flat[1]).isEmpty() and flat[1].count() == 1000
-    assert parts.select(F.max(F.size("items"))).first()[0] < 100
+def test_window_members_have_true_totals(spark):
+    rows, orders = make_orders(spark, 4, 1000)
+    members = window_members(orders, "1 hour").collect()
+    assert len(members) == 1000
+    for m in members:
+        same = [r for r in rows if r[1].replace(minute=0, second=0) == m.window_start]
+        assert m.window_orders == len(same) and m.accumulated_weight == pytest.approx(sum(r[3] for r in same))
+
+
+def test_fractional_loads_do_not_depend_on_slices(spark):
+    """Loads of one decimal: batches and lorries are the same, however the rows are cut."""
+    rnd = random.Random(11)
+    rows = [
+        (None, START + timedelta(seconds=rnd.randrange(3600)), f"o{n:05d}", rnd.randrange(1, 100) / 10, rnd.randrange(1, 100) / 10, "READY")
+        for n in range(4000)
+    ]
+    orders = spark.createDataFrame(rows, ROWS).withColumn("hour", F.date_trunc("hour", "order_timestamp"))
+    limits = Limits(20.0, 50.3)
+    found = set()
+    for slices in (None, 1, 7, 50):
+        batches = capacity_batches(orders, limits=limits, slices=slices)
+        found.add(tuple(sorted((r.order_id, r.batch_id) for r in batches.collect())))
+    assert len(found) == 1
+    found = set()
+    for group_limit, slices in ((10_000, None), (50, 7), (50, 50)):
+        loads = lorry_loads(orders, "10 minutes", limits, group_limit=group_limit, slices=slices)
+        found.add(tuple(sorted((r.order_id, r.loaded) for r in loads.collect())))
+    assert len(found) == 1

@@ -91,13 +91,22 @@ def test_usual_values_fill_gaps_of_a_visit(spark):
     }
 
 
-def test_large_batches_become_several_requests(spark, gold):
-    packed = packing.capacity_batches(tables.read_table(spark, gold), "month")
-    docs = requests.request_documents(packed.withColumn("batch_id", F.lit(1)), ["batch_id"], limit=100)
-    assert docs.count() > 5 and docs.agg(F.sum("visits")).first()[0] == packed.count()
-    copies = packed.unionAll(packed)
-    visits = requests.batch_visits(copies, ["month", "batch_id"])
-    assert visits.select(F.explode("visits")).count() == packed.count()
+def test_a_batch_is_one_request_at_any_size(spark):
+    rows = spark.range(20_000).select(
+        F.lit(1).alias("batch_id"),
+        F.when(F.col("id") > 0, F.concat(F.lit("o"), F.col("id"))).alias("order_id"),
+        F.concat(F.lit("c"), F.col("id")).alias("customer_id"),
+        F.lit(40.0).alias("lat"),
+        F.lit(-3.0).alias("lon"),
+        F.timestamp_seconds(F.col("id")).alias("order_timestamp"),
+    )
+    (document,) = requests.request_documents(rows, ["batch_id"]).collect()
+    visits = json.loads(document.document)["visits"]
+    assert document.visits == len(visits) == 20_000 and any(key.startswith("no-id-c0") for key in visits)
+    moved = rows.withColumn("lat", F.lit(41.0)).withColumn("order_timestamp", F.col("order_timestamp") - F.expr("INTERVAL 1 DAY"))
+    twice = requests.batch_visits(rows.unionByName(moved.filter("order_id is not null")), ["batch_id"])
+    (seen,) = twice.select(F.size("visits").alias("n"), F.col("visits")["o5"]["location"]["lat"].alias("lat")).collect()
+    assert (seen.n, seen.lat) == (20_000, 40.0)
 
 
 ANSWER = {
@@ -137,7 +146,7 @@ def answers(spark, tmp_path):
 def test_multi_line_answers(spark, tmp_path, answers):
     assert answers.count() == 2 and {r.dispatched_hour for r in answers.collect()} == {"UNKNOWN"}
     jobs.load_solutions(spark, f"{tmp_path}/answers", f"{tmp_path}/table")
-    assert tables.read_table(spark, f"{tmp_path}/table").count() == 4  # appended
+    assert tables.read_table(spark, f"{tmp_path}/table").count() == 2  # its hours are replaced
     assert files.read_documents(spark, f"{tmp_path}/answers").schema["output"].dataType["polylines"] is not None
 
 
