@@ -75,23 +75,22 @@ def fingerprints(sums: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.n
 
 
 class BlockIndex:
-    """Fingerprints of items by the value of each block."""
+    """Fingerprints of items by the value of each block, all blocks one after the other."""
 
     def __init__(self, blocks: np.ndarray):
         self.blocks = blocks
-        self.orders = np.argsort(blocks, axis=0, kind="stable")
+        orders = np.argsort(blocks, axis=0, kind="stable")
         values = np.arange((1 << BLOCK_BITS) + 1)
-        self.edges = [np.searchsorted(blocks[self.orders[:, b], b], values, "left") for b in range(BLOCKS)]
+        edges = [np.searchsorted(blocks[orders[:, b], b], values, "left") + b * len(blocks) for b in range(BLOCKS)]
+        self.orders, self.edges = orders.T.ravel(), np.array(edges)
 
     def near(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All pairs (window, item) with fingerprints within RADIUS."""
-        pairs = []
-        n = len(self.blocks)
-        for b in range(BLOCKS):
-            begin, end = self.edges[b][windows[:, b]], self.edges[b][windows[:, b].astype(int) + 1]
-            items = self.orders[kernel.slices_of(begin, end - begin), b]
-            pairs.append(np.repeat(np.arange(len(windows)), end - begin) * n + items)
-        pairs = np.unique(np.concatenate(pairs))
+        n, block = len(self.blocks), np.arange(BLOCKS)
+        begin, end = self.edges[block, windows], self.edges[block, windows.astype(np.int64) + 1]
+        counts = (end - begin).ravel()
+        items = self.orders[kernel.slices_of(begin.ravel(), counts)]
+        pairs = np.unique(np.repeat(np.repeat(np.arange(len(windows)), BLOCKS), counts) * n + items)
         window, item = pairs // n, pairs % n
         apart = _ONES[windows[window] ^ self.blocks[item]].sum(axis=1)
         close = apart <= RADIUS
@@ -193,8 +192,8 @@ class Scanner:
                 continue
             if sums is None:
                 sums = bit_sums(hashes, weights)
-            for k in range(0, len(begins), 4096):
-                part = begins[k : k + 4096]
+            for k in range(0, len(begins), 512):
+                part = begins[k : k + 512]
                 windows, near = index.near(fingerprints(sums, part, part + wide))
                 for i, item in zip(part[windows].tolist(), items[near].tolist(), strict=True):
                     own = hashes[i : i + wide].tolist()
