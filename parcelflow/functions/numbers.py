@@ -20,6 +20,11 @@ def clamped(value: Column, cap: float) -> Column:
     return F.when(value > F.lit(cap), F.lit(cap)).otherwise(value)
 
 
+def millionths(value: Column) -> Column:
+    """Whole number of millionths, so that sums are exact."""
+    return F.round(value * 1e6).cast("bigint")
+
+
 def whole_load(value: Column) -> Column:
     return F.ceil(value).cast("int")
 

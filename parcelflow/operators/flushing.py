@@ -1,21 +1,26 @@
 """Accumulate orders until a threshold is met, release them all, start again.
 
 The group number of an order depends on every earlier order of its key, so no window function can
-give it. The walk itself is a few lines of Python over the sorted rows of a partition; Spark
-shuffles and sorts. A key too large for one task is cut into slices which are walked in parallel:
+give it. Prefix sums tell for every order at once where a group that opens with it is released; the
+walk then goes from release to release, not from order to order. Loads are whole millionths and
+times whole microseconds, so sums don't depend on where they begin. Spark shuffles and sorts. A key
+too large for one task is cut into slices which are walked in parallel:
 
 1. Whoever enters a slice with orders already waiting releases them at one of the slice's first
    orders, at the latest where somebody entering empty-handed would. So for these few orders only,
    each slice notes how it would be left if the release happened there.
 2. Going over these notes, slice after slice, tells with which waiting totals each slice is entered.
-3. Knowing that, all slices are numbered at once.
+3. Knowing that, all slices are numbered at once; the entries are a table that is joined by slice.
+
+A slice in which nothing is released notes all its orders: a single group larger than a slice is walked as a whole.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
-from dataclasses import dataclass, replace
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
 from parcelflow.config import FLUSH_LIMITS, READY_FOR_DISPATCH, Limits
+from parcelflow.functions.numbers import millionths
 from parcelflow.operators.orders import with_status
 from parcelflow.operators.packing import FIFO
 from parcelflow.operators.slices import (
@@ -30,11 +36,13 @@ from parcelflow.operators.slices import (
     group_key,
     group_sizes,
     key_runs,
-    numbers_of,
     slices_for,
     sorted_slices,
     with_result,
 )
+from parcelflow.session import stored
+
+_NEVER = np.iinfo(np.int64).max // 4
 
 
 @dataclass(frozen=True)
@@ -42,101 +50,114 @@ class Waiting:
     """The open group of one key: its number, its totals and the time of the release before it."""
 
     number: int = 0
-    weight: float = 0.0
-    volume: float = 0.0
-    since: float | None = None
-
-
-Row = tuple[float, float, float]  # weight, volume, time in seconds
-
-
-def take(waiting: Waiting, row: Row, limits: Limits) -> tuple[Waiting, bool]:
-    """Add one order; tells whether the group is released with it."""
-    weight, volume, at = row
-    since = at if waiting.since is None else waiting.since
-    weight, volume = waiting.weight + weight, waiting.volume + volume
-    aged = limits.seconds is not None and at - since >= limits.seconds
-    if weight >= limits.weight or volume >= limits.volume or aged:
-        return Waiting(waiting.number + 1, 0.0, 0.0, at), True
-    return Waiting(waiting.number, weight, volume, since), False
-
-
-def numbers(rows: Iterable[Row], waiting: Waiting, limits: Limits) -> tuple[list[int], Waiting]:
-    """Group number of every order, and what is waiting after the last one."""
-    number, sum_weight, sum_volume, since = waiting.number, waiting.weight, waiting.volume, waiting.since
-    age = float("inf") if limits.seconds is None else limits.seconds
-    given = []
-    for weight, volume, at in rows:
-        given.append(number)
-        since = at if since is None else since
-        sum_weight, sum_volume = sum_weight + weight, sum_volume + volume
-        if sum_weight >= limits.weight or sum_volume >= limits.volume or at - since >= age:
-            number, sum_weight, sum_volume, since = number + 1, 0.0, 0.0, at
-    return given, Waiting(number, sum_weight, sum_volume, since)
-
-
-def first_release(rows: Sequence[Row], start: int, since: float, limits: Limits) -> tuple[int | None, Waiting]:
-    """Where a group opened at ``start`` is released; None if it still waits after the last row."""
-    waiting = Waiting(since=since)
-    for position in range(start, len(rows)):
-        waiting, released = take(waiting, rows[position], limits)
-        if released:
-            return position, waiting
-    return None, waiting
-
-
-class SliceEnds:
-    """How a slice is left by a group opened at one of its rows; walks that meet are walked once."""
-
-    def __init__(self, rows: Sequence[Row], limits: Limits):
-        self.rows, self.limits = rows, limits
-        self.known: dict[int, Waiting] = {}
-
-    def after(self, position: int) -> Waiting:
-        """State at the end of the slice if a group is released at ``position``; counts further releases."""
-        path, start = [], position + 1
-        while start not in self.known:
-            released, waiting = first_release(self.rows, start, self.rows[start - 1][2], self.limits)
-            if released is None:
-                self.known[start] = waiting
-            else:
-                path.append(start)
-                start = released + 1
-        end = self.known[start]
-        for opened in reversed(path):
-            end = replace(end, number=end.number + 1)
-            self.known[opened] = end
-        return self.known[position + 1]
-
-
-def _rows(batch: pa.RecordBatch | pa.Table) -> list[Row]:
-    return list(zip(*(numbers_of(batch, name) for name in ("_weight", "_volume", "_at")), strict=True))
+    weight: int = 0
+    volume: int = 0
+    since: int | None = None
 
 
-def _number_sorted(limits: Limits, name: str, entering: dict[int, tuple[str, Waiting]] | None = None):
-    """Map function over sorted partitions; ``entering`` gives the open group a slice continues."""
+@dataclass(frozen=True)
+class Bounds:
+    """Limits in millionths of a unit, and microseconds."""
+
+    weight: int
+    volume: int
+    age: int
+
+
+def bounds(limits: Limits) -> Bounds:
+    def whole(value: float) -> int:
+        return min(_NEVER, round(value * 1e6))
+
+    return Bounds(whole(limits.weight), whole(limits.volume), _NEVER if limits.seconds is None else whole(limits.seconds))
+
+
+class Orders:
+    """Orders of one key in order of time, as prefix sums."""
+
+    def __init__(self, weights: np.ndarray, volumes: np.ndarray, times: np.ndarray, limits: Bounds):
+        self.n, self.limits, self.times = len(times), limits, times
+        self.weights = np.concatenate(([0], np.cumsum(weights)))
+        self.volumes = np.concatenate(([0], np.cumsum(volumes)))
+        self.next = self._successors()
+
+    def _successors(self) -> list[int]:
+        """For each order where a group that opens with it, just after a release, is released; n if it isn't."""
+        start = np.arange(self.n)
+        by_weight = np.searchsorted(self.weights, self.weights[:-1] + self.limits.weight) - 1
+        by_volume = np.searchsorted(self.volumes, self.volumes[:-1] + self.limits.volume) - 1
+        before = np.concatenate((self.times[:1], self.times[:-1]))
+        by_age = np.searchsorted(self.times, before + self.limits.age)
+        return np.maximum(np.minimum(np.minimum(by_weight, by_volume), by_age), start).tolist()
+
+    def first_release(self, waiting: Waiting) -> int:
+        """Where those waiting are released together with the first orders; n if they aren't."""
+        since = int(self.times[0]) if waiting.since is None else waiting.since
+        by_weight = np.searchsorted(self.weights, self.limits.weight - waiting.weight) - 1
+        by_volume = np.searchsorted(self.volumes, self.limits.volume - waiting.volume) - 1
+        by_age = np.searchsorted(self.times, since + self.limits.age)
+        return max(0, int(min(by_weight, by_volume, by_age)))
+
+    def open_since(self, start: int, number: int) -> Waiting:
+        """The group that opened with ``start``, just after a release, as it waits after the last order."""
+        return Waiting(
+            number,
+            int(self.weights[-1] - self.weights[start]),
+            int(self.volumes[-1] - self.volumes[start]),
+            int(self.times[start - 1]),
+        )
+
+    def numbers(self, waiting: Waiting) -> tuple[np.ndarray, Waiting]:
+        """Group number of every order, and what is waiting after the last one."""
+        given = np.full(self.n, waiting.number, dtype=np.int64)
+        end = self.first_release(waiting)
+        if end >= self.n:
+            since = int(self.times[0]) if waiting.since is None else waiting.since
+            weight, volume = waiting.weight + int(self.weights[-1]), waiting.volume + int(self.volumes[-1])
+            return given, Waiting(waiting.number, weight, volume, since)
+        heads = []
+        while end < self.n:
+            heads.append(start := end + 1)
+            end = self.next[start] if start < self.n else self.n
+        inside = np.zeros(self.n + 1, dtype=np.int64)
+        inside[heads] = 1
+        return given + np.cumsum(inside[:-1]), self.open_since(heads[-1], waiting.number + len(heads))
+
+    def ends(self) -> tuple[list[int], list[int]]:
+        """For each order that opens a group: the releases from there on, and the order that opens the last group."""
+        count, opened = [0] * (self.n + 1), list(range(self.n + 1))
+        for start in range(self.n - 1, -1, -1):
+            end = self.next[start]
+            if end < self.n:
+                count[start], opened[start] = count[end + 1] + 1, opened[end + 1]
+        return count, opened
+
+
+def _orders(batch: pa.RecordBatch | pa.Table, start: int, end: int, limits: Bounds) -> Orders:
+    return Orders(*(batch.column(name).slice(start, end - start).to_numpy() for name in ("_weight", "_volume", "_at")), limits)
+
+
+def _number_sorted(limits: Bounds, name: str):
+    """Map function over sorted partitions: a new key, or a new slice, starts afresh or with what enters it."""
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, waiting, fresh = None, Waiting(), True
+        run, waiting = None, Waiting()
         for batch in batches:
             if not batch.num_rows:
                 continue
-            if fresh and entering:
-                key, waiting = entering.get(batch.column("_slice")[0].as_py(), (key, waiting))
-            fresh = False
-            given: list[int] = []
-            rows = _rows(batch)
-            for run_key, start, end in key_runs(batch.column("_key")):
-                if run_key != key:
-                    key, waiting = run_key, Waiting()
-                numbered, waiting = numbers(rows[start:end], waiting, limits)
-                given.extend(numbered)
-            yield with_result(batch, name, pa.array(given, pa.int64()))
+            given = []
+            for key, start, end in key_runs(batch.column("_run")):
+                if key != run:
+                    run, waiting = key, Waiting()
+                    if "_number" in batch.schema.names and batch.column("_number")[start].is_valid:
+                        waiting = Waiting(*(batch.column(c)[start].as_py() for c in ("_number", "_enter_weight", "_enter_volume", "_since")))
+                numbered, waiting = _orders(batch, start, end, limits).numbers(waiting)
+                given.append(numbered)
+            yield with_result(batch, name, pa.array(np.concatenate(given)))
 
     return number
 
 
-def _first_and_last(limits: Limits):
+def _first_and_last(limits: Bounds):
     """Per slice: the notes on its first key, and the open group of its last key if that begins here."""
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,20 +165,21 @@ def _first_and_last(limits: Limits):
         if not parts:
             return
         table = pa.Table.from_batches(parts).combine_chunks()
-        rows, runs = _rows(table), list(key_runs(table.column("_key").chunk(0)))
+        runs = list(key_runs(table.column("_key").chunk(0)))
         slice_number = table.column("_slice")[0].as_py()
         key, start, end = runs[0]
-        first = rows[start:end]
-        released, _ = first_release(first, 0, first[0][2], limits)
-        ends = SliceEnds(first, limits)
+        first = _orders(table, start, end, limits)
+        count, opened = first.ends()
         notes = []
-        for position, row in enumerate(first if released is None else first[: released + 1]):
-            left = ends.after(position)
+        weights, volumes = np.diff(first.weights).tolist(), np.diff(first.volumes).tolist()
+        for position in range(min(first.first_release(Waiting()) + 1, first.n)):
+            left = first.open_since(opened[position + 1], count[position + 1])
+            row = (weights[position], volumes[position], int(first.times[position]))
             notes.append((slice_number, position, key, *row, left.number, left.weight, left.volume, left.since))
         if len(runs) > 1:
             key, start, end = runs[-1]
-            _, left = numbers(rows[start:end], Waiting(), limits)
-            notes.append((slice_number, start, key, 0.0, 0.0, 0.0, left.number, left.weight, left.volume, left.since))
+            _, left = _orders(table, start, end, limits).numbers(Waiting())
+            notes.append((slice_number, start, key, 0, 0, 0, left.number, left.weight, left.volume, left.since))
         yield pa.RecordBatch.from_arrays([pa.array(column) for column in zip(*notes, strict=True)], names=list(_NOTES))
 
     return summarise
@@ -167,21 +189,21 @@ _NOTES = {
     "_slice": "bigint",
     "position": "bigint",
     "_key": "string",
-    "weight": "double",
-    "volume": "double",
-    "at": "double",
+    "weight": "bigint",
+    "volume": "bigint",
+    "at": "bigint",
     "number": "bigint",
-    "left_weight": "double",
-    "left_volume": "double",
-    "left_since": "double",
+    "left_weight": "bigint",
+    "left_volume": "bigint",
+    "left_since": "bigint",
 }
 _ENTRIES = {
     "_slice": "bigint",
     "_key": "string",
-    "number": "bigint",
-    "weight": "double",
-    "volume": "double",
-    "since": "double",
+    "_number": "bigint",
+    "_enter_weight": "bigint",
+    "_enter_volume": "bigint",
+    "_since": "bigint",
 }
 
 
@@ -189,7 +211,7 @@ def _ddl(columns: dict[str, str]) -> str:
     return ", ".join(f"`{name}` {kind}" for name, kind in columns.items())
 
 
-def _enter_slices(limits: Limits):
+def _enter_slices(limits: Bounds):
     """Walk the notes of one key over its slices: with which open group is each slice entered?"""
 
     def walk(notes: pd.DataFrame) -> pd.DataFrame:
@@ -198,22 +220,20 @@ def _enter_slices(limits: Limits):
             key = here["_key"].iat[0]
             if waiting is None:
                 waiting = Waiting()
-                begins_inside = not bool((here["position"] == 0).any())
-                if begins_inside:
+                if not bool((here["position"] == 0).any()):  # the key begins inside this slice
                     last = here.iloc[-1]
-                    waiting = Waiting(int(last["number"]), last["left_weight"], last["left_volume"], last["left_since"])
+                    waiting = Waiting(*(int(last[c]) for c in ("number", "left_weight", "left_volume", "left_since")))
                     continue
             else:
-                entries.append(
-                    (slice_number, key, waiting.number, waiting.weight, waiting.volume, waiting.since)
-                )
-            for note in here.itertuples():
-                waiting, released = take(waiting, (note.weight, note.volume, note.at), limits)
-                if released:
-                    waiting = Waiting(
-                        waiting.number + int(note.number), note.left_weight, note.left_volume, note.left_since
-                    )
-                    break
+                entries.append((slice_number, key, waiting.number, waiting.weight, waiting.volume, waiting.since))
+            first = Orders(*(here[c].to_numpy() for c in ("weight", "volume", "at")), limits)
+            end = first.first_release(waiting)
+            if end < first.n:
+                note = here.iloc[end]
+                left = (int(note[c]) for c in ("left_weight", "left_volume", "left_since"))
+                waiting = Waiting(waiting.number + 1 + int(note["number"]), *left)
+            else:
+                _, waiting = first.numbers(waiting)
         return pd.DataFrame(entries, columns=list(_ENTRIES))
 
     return walk
@@ -232,31 +252,31 @@ def threshold_groups(
     """Number the release each order goes out with, per key, from 0.
 
     A group is released with the order that brings its weight or volume to the limit, or that comes
-    ``limits.seconds`` or more after the release before. Weights and volumes must not be negative;
-    NULL counts as nothing. Orders of the last, still open group carry the next number.
+    ``limits.seconds`` or more after the release before. Weights and volumes must not be negative and
+    count to the millionth; NULL counts as nothing. ``order`` begins with ``at``. Orders of the last, still open group carry the next number.
     """
+    if order[0] != at:
+        raise ValueError(f"orders must be taken by {at!r} first, not by {order[0]!r}")
     columns = orders.columns
     prepared = orders.withColumns(
         {
             "_key": group_key(keys),
-            "_weight": F.col("total_weight").cast("double"),
-            "_volume": F.col("total_volume").cast("double"),
-            "_at": F.unix_micros(F.col(at)) / F.lit(1e6),
+            "_weight": F.coalesce(millionths(F.col("total_weight").cast("double")), F.lit(0)),
+            "_volume": F.coalesce(millionths(F.col("total_volume").cast("double")), F.lit(0)),
+            "_at": F.unix_micros(F.col(at)),
         }
     )
     out = StructType([*orders.schema.fields]).add(name, LongType())
     largest, rows = group_sizes(orders, keys) if slices is None else (None, 0)
+    whole = bounds(limits)
     if largest is not None and largest <= group_limit:
-        by_key = prepared.repartition("_key").sortWithinPartitions("_key", *order)
-        numbered = by_key.mapInArrow(_number_sorted(limits, name), out)
+        by_key = prepared.withColumn("_run", F.col("_key")).repartition("_key").sortWithinPartitions("_key", *order)
     else:
         cut = sorted_slices(prepared, ["_key"], order, slices or slices_for(rows))
-        notes = cut.select("_slice", "_key", "_weight", "_volume", "_at").mapInArrow(_first_and_last(limits), _ddl(_NOTES))
-        entries = notes.groupBy("_key").applyInPandas(_enter_slices(limits), _ddl(_ENTRIES))
+        notes = cut.select("_slice", "_key", "_weight", "_volume", "_at").mapInArrow(_first_and_last(whole), _ddl(_NOTES))
         # One row per slice at most: a slice can only continue the key it starts with.
-        entering = {
-            row["_slice"]: (row["_key"], Waiting(row["number"], row["weight"], row["volume"], row["since"]))
-            for row in entries.toLocalIterator()
-        }
-        numbered = cut.mapInArrow(_number_sorted(limits, name, entering), out)
+        entries = stored(notes.groupBy("_key").applyInPandas(_enter_slices(whole), _ddl(_ENTRIES)), "entries")
+        entered = cut.join(entries, ["_slice", "_key"], "left").withColumn("_run", F.concat_ws("/", "_slice", "_key"))
+        by_key = entered.repartition("_slice").sortWithinPartitions("_slice", "_key", *order)
+    numbered = by_key.mapInArrow(_number_sorted(whole, name), out)
     return with_status(numbered.select(*columns, name), READY_FOR_DISPATCH) if "status" in columns else numbered

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructType
 
 from parcelflow.config import LORRY_LIMITS, READY_FOR_DISPATCH, RECEIVED, Limits
+from parcelflow.functions.numbers import millionths
 from parcelflow.operators.packing import FIFO
 from parcelflow.operators.slices import (
     GROUP_LIMIT,
@@ -65,10 +66,6 @@ def _walk(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     return rows.repartition("_key").sortWithinPartitions("_key", *order).mapInArrow(_load_sorted, out)
 
 
-def millionths(value: Column) -> Column:
-    return F.round(value * 1e6).cast("bigint")
-
-
 def _fits(weight: Column, volume: Column) -> Column:
     return (weight <= F.col("_room_weight")) & (volume <= F.col("_room_volume"))
 

@@ -277,6 +277,9 @@ FROM packed GROUP BY month_start, batch_id""",
 SELECT DISTINCT strftime(month_start, '%Y-%m') AS job_id FROM paid WHERE month(month_start) % 3 = 0""",
     "solution_load": f"""WITH {RUNS}
 SELECT id, finished_at, dispatched_hour, dispatched_date, num_late_visits, num_unserved, total_distance, drivers
+FROM solved""",
+    "multi_line_answers": f"""WITH {RUNS}
+SELECT id, finished_at, dispatched_hour, dispatched_date, num_late_visits, num_unserved, total_distance, drivers
 FROM solved""",
     "solution_tables_by_date": f"""WITH {RUNS}
 SELECT id, 'finished' AS status, finished_at, 'request-' || run AS input, 'madrid' AS region,
@@ -300,6 +303,7 @@ FROM solved""",
     "views_by_run": f"""WITH {RUNS}
 SELECT 'dispatched_orders_' || translate(finished_at, '-:.', '___') AS view_name, finished_at, count(*) AS runs
 FROM runs GROUP BY finished_at""",
+    "latest_run_view": f"WITH {RUNS} {_REPORT} WHERE finished_at = (SELECT max(finished_at) FROM solved)",
     "driver_stops": f"WITH {RUNS} SELECT * EXCLUDE (run) FROM driver_stops",
     "run_summary_flat": f"""WITH {RUNS},
 wide AS (
@@ -366,6 +370,16 @@ windows AS (
   FROM plain GROUP BY 1)
 SELECT {stamp('opened', 'window_start')}, {stamp('opened + INTERVAL 2 MINUTE', 'window_end')}, total_weight, total_volume
 FROM windows WHERE opened + INTERVAL 2 MINUTE <= (SELECT max(ts) FROM plain) - INTERVAL 1 MINUTE""",
+    "stream_late_orders": f"""WITH {ORDERS},
+windows AS (
+  SELECT {window_start(120)} AS opened, sum(total_weight) AS total_weight, sum(total_volume) AS total_volume
+  FROM plain WHERE ts >= TIMESTAMP '{registry.FEED_DAYS[0]}' GROUP BY 1)
+SELECT {stamp('opened', 'window_start')}, total_weight, total_volume, true AS some_late
+FROM windows WHERE opened + INTERVAL 2 MINUTE <= (SELECT max(ts) FROM plain) - INTERVAL 1 MINUTE""",
+    "stream_archived_inputs": f"""WITH {ORDERS}
+SELECT order_id, {stamp('ts', 'order_timestamp')}, true AS some_archived FROM paid""",
+    "stream_from_now": f"""WITH {ORDERS}
+SELECT order_id, {stamp('ts', 'order_timestamp')} FROM plain WHERE ts >= TIMESTAMP '{registry.FEED_DAYS[0]}'""",
     "stream_window_lists": f"""WITH {ORDERS}
 SELECT {stamp(window_start(600), 'window_start')}, order_id, total_weight, total_volume,
   sum(total_volume) OVER w AS accumulated_volume, sum(total_weight) OVER w AS accumulated_weight,

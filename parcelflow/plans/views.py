@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,15 +21,11 @@ def run_views(table: DataFrame, prefix: str = "dispatched_orders_") -> DataFrame
     )
 
 
-def create_run_views(table: DataFrame, prefix: str = "dispatched_orders_") -> Iterator[str]:
-    """Create one view per finish time, yielding the names.
-
-    Names are fetched partition by partition; on a table partitioned by ``finished_at`` a view reads
-    only its own folder. To look at one run of very many use :func:`run_view` instead.
-    """
-    for row in run_views(table, prefix).toLocalIterator():
-        run_view(table, row["finished_at"]).createOrReplaceTempView(row["view_name"])
-        yield row["view_name"]
+def create_run_view(table: DataFrame, finished_at: str, prefix: str = "dispatched_orders_") -> str:
+    """View of one run, made when it is wanted; on a table partitioned by ``finished_at`` it reads only its own folder."""
+    name = run_views(table.sparkSession.createDataFrame([(finished_at,)], "finished_at string"), prefix).first()["view_name"]
+    run_view(table, finished_at).createOrReplaceTempView(name)
+    return name
 
 
 def run_view(table: DataFrame, finished_at: str) -> DataFrame:

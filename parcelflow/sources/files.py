@@ -26,12 +26,12 @@ def read_clients(spark: SparkSession, path: str, schema: Schema = CLIENT) -> Dat
 
 
 def folder_jobs(spark: SparkSession, path: str, depth: int = -2) -> DataFrame:
-    """Distinct job folders below ``path``; files are listed, not opened."""
+    """Distinct job folders below ``path``; files are listed, not opened. ``job_id=j1`` is job ``j1``."""
     listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(path)
-        .select(path_element(F.col("path"), depth).alias("job_id"))
+        .select(F.regexp_replace(path_element(F.col("path"), depth), "^[^=]*=", "").alias("job_id"))
     )
     return listed.distinct()
 

@@ -93,8 +93,15 @@ def create_database(spark: SparkSession, name: str, location: str | None = None)
 def create_external_table(
     spark: SparkSession, name: str, schema: StructType, path: str, by: Sequence[str] = (), fmt: str = "parquet"
 ) -> None:
-    """External table over files that exist already; its partitions still have to be discovered."""
+    """External table over files that exist already; its partitions still have to be discovered.
+
+    A table of that name over other files is an error, not taken for the one wanted.
+    """
     if table_exists(spark, name):
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+        place = rows[0]["data_type"].rstrip("/") if rows else ""
+        if not place.endswith(path.split(":", 1)[-1].rstrip("/")):
+            raise ValueError(f"{name} exists already over {place}, not {path}")
         return
     columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema.fields)
     partitions = f" PARTITIONED BY ({', '.join(by)})" if by else ""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -58,14 +60,26 @@ def read_rewritten_stream(spark: SparkSession, path: str, schema: Schema, fmt: s
 def read_stream_from(
     spark: SparkSession, path: str, schema: Schema, start: str = "earliest", fmt: str = "parquet", **options: str
 ) -> DataFrame:
-    """File stream from the ``earliest`` file on, or with the ``latest`` files first.
+    """File stream from the ``earliest`` file on, with the ``latest`` files first, or from a time on.
 
-    With a bounded ``maxFilesPerTrigger`` the second form serves fresh orders before the backlog;
-    after the first run the checkpoint decides, whatever ``start`` says.
+    With a bounded ``maxFilesPerTrigger`` the second form serves fresh orders before the backlog. A time such as
+    ``2024-10-01 12:00:00`` (UTC) leaves out the rows of files written before it, the backlog; :func:`written_until`
+    gives that of now. A stream that is started again must be given the same time.
     """
-    if start not in ("earliest", "latest"):
-        raise ValueError(f"start must be 'earliest' or 'latest', not {start!r}")
-    return read_stream(spark, path, schema, fmt, latestFirst=str(start == "latest").lower(), **options)
+    if start in ("earliest", "latest"):
+        return read_stream(spark, path, schema, fmt, latestFirst=str(start == "latest").lower(), **options)
+    try:
+        since = datetime.fromisoformat(start)
+    except ValueError:
+        raise ValueError(f"start must be 'earliest', 'latest' or a time, not {start!r}") from None
+    stream = read_stream(spark, path, schema, fmt, **options)
+    return stream.filter(F.col("_metadata.file_modification_time") > F.lit(since.isoformat(" ")).cast("timestamp"))
+
+
+def written_until(spark: SparkSession, path: str) -> str:
+    """When the newest file of a table was written (UTC); a stream from there on begins with what comes next."""
+    newest = spark.read.parquet(path).agg(F.date_format(F.max("_metadata.file_modification_time"), "yyyy-MM-dd HH:mm:ss.SSS"))
+    return newest.first()[0]
 
 
 def read_json_events(

@@ -197,13 +197,17 @@ def test_dispatch_and_report_jobs(spark, tmp_path, answers):
 def test_views_and_catalog(spark, tmp_path, answers):
     sinks.overwrite(solutions.report_rows(answers), f"{tmp_path}/report", ["finished_at"])
     report = tables.read_table(spark, f"{tmp_path}/report", schema=solutions.report_rows(answers).schema)
-    names = list(views.create_run_views(report))
-    assert names == ["dispatched_orders_2024_10_05T18_14_00Z"]
-    assert views.query_view(spark, names[0]).count() == 2
+    (run,) = views.run_views(report).collect()
+    name = views.create_run_view(report, run.finished_at)
+    assert name == run.view_name == "dispatched_orders_2024_10_05T18_14_00Z"
+    assert views.query_view(spark, name).count() == 2
+    assert "PartitionFilters: [isnotnull(finished_at" in views.query_view(spark, name)._jdf.queryExecution().toString()
     views.create_report_views(answers)
     assert views.query_view(spark, "driver_solutions").count() == 8
     full = jobs.catalog_report(spark, "reporting", "answers", f"{tmp_path}/report")
     assert tables.table_exists(spark, full) and spark.table(full).count() == 2
+    with pytest.raises(ValueError):
+        sinks.create_external_table(spark, full, report.schema, f"{tmp_path}/elsewhere", ["finished_at"])
     assert not tables.table_exists(spark, "reporting.nothing")
     assert tables.table_exists(spark, f"{tmp_path}/report") and not tables.table_exists(spark, f"{tmp_path}/none")
 
@@ -230,7 +234,7 @@ def test_job_folders(spark, tmp_path):
     sinks.write_documents(rows, f"{tmp_path}/asked")
     sinks.write_documents(rows.filter("job_id = 'j1'"), f"{tmp_path}/done")
     asked, done = files.folder_jobs(spark, f"{tmp_path}/asked"), files.folder_jobs(spark, f"{tmp_path}/done")
-    assert [r.job_id for r in files.pending_jobs(asked, done).collect()] == ["job_id=j2"]
+    assert [r.job_id for r in files.pending_jobs(asked, done).collect()] == ["j2"]
 
 
 def test_stream_equals_batch_over_several_micro_batches(spark, tmp_path, gold):
