@@ -35,12 +35,12 @@ def make_orders(spark, seed, count, seconds=100_000, hot=0.6, weights=(0.1, 0.2,
 def flushed(rows, limits):
     numbers, open_groups = {}, {}
     for key, at, order_id, weight, volume, _ in sorted(rows, key=lambda r: (str(r[0]), r[1], r[2])):
-        number, sum_weight, sum_volume, since = open_groups.get(key, (0, 0.0, 0.0, at))
-        sum_weight, sum_volume = sum_weight + (weight or 0.0), sum_volume + (volume or 0.0)
+        number, sum_weight, sum_volume, since = open_groups.get(key, (0, 0, 0, at))
+        sum_weight, sum_volume = sum_weight + round((weight or 0) * 1e6), sum_volume + round((volume or 0) * 1e6)
         numbers[order_id] = number
         aged = limits.seconds is not None and (at - since).total_seconds() >= limits.seconds
-        if sum_weight >= limits.weight or sum_volume >= limits.volume or aged:
-            open_groups[key] = (number + 1, 0.0, 0.0, at)
+        if sum_weight >= limits.weight * 1e6 or sum_volume >= limits.volume * 1e6 or aged:
+            open_groups[key] = (number + 1, 0, 0, at)
         else:
             open_groups[key] = (number, sum_weight, sum_volume, since)
     return numbers
