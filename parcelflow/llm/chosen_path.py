@@ -290,3 +290,29 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def op9_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{folder}/documents.parquet"))
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+SQL = f"""
+WITH RECURSIVE word AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) < 2 THEN words
+    ELSE list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) END) AS g
+  FROM word),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingle a JOIN shingle b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+link AS (
+  SELECT a, b FROM shared JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+  WHERE 100 * shared.n >= {SIMILAR} * (x.n + y.n - shared.n)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT reached.doc_id, edge.b FROM reached JOIN edge ON reached.other = edge.a)
+SELECT doc_id, coalesce(any_value(size.n), 0) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reached LEFT JOIN size USING (doc_id) GROUP BY doc_id
+"""

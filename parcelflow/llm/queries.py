@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parcelflow.llm import licenses
+from parcelflow.llm import chosen_path, licenses, warc
 from parcelflow.llm.bestfit import op7_best_fit
 from parcelflow.llm.chaining import op3_chained_passages
 from parcelflow.llm.chosen_path import op9_chosen_path
@@ -15,4 +15,4 @@ from parcelflow.llm.toxicity import op1_kneser_ney
 from parcelflow.llm.warc import op5_warc
 
 QUERIES = {f.__name__: f for f in (op1_kneser_ney, op2_suffix_array, op3_chained_passages, op4_license_scan, op5_warc, op6_simhash_windows, op7_best_fit, op8_fertility, op9_chosen_path, op10_feistel_shards)}
-SQL: dict[str, str] = {"op4_license_scan": licenses.SQL}
+SQL: dict[str, str] = {"op4_license_scan": licenses.SQL, "op5_warc": warc.SQL, "op9_chosen_path": chosen_path.SQL}

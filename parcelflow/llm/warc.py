@@ -204,4 +204,25 @@ def archive(pages: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
-    return archive(spark.read.parquet(f"{folder}/pages.parquet"))
+    rows = archive(spark.read.parquet(f"{folder}/pages.parquet"))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _base32(digest_: str) -> str:
+    """SQL for the base32 form of a hexadecimal SHA-1: five hexadecimal digits are four letters."""
+    letters = []
+    for k in range(8):
+        number = f"CAST('0x' || substr({digest_}, {5 * k + 1}, 5) AS BIGINT)"
+        letters += [f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (({number} >> {shift}) & 31), 1)" for shift in (15, 10, 5, 0)]
+    return " || ".join(letters)
+
+
+SQL = f"""
+WITH page AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+hashed AS (SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS digest FROM page),
+best AS (SELECT digest, max(page_id) AS largest FROM hashed GROUP BY digest)
+SELECT page_id, payload_bytes, {_base32('digest')} AS payload_digest,
+  CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> largest THEN largest END AS refers_to
+FROM hashed JOIN best USING (digest)
+"""
