@@ -9,10 +9,12 @@ sent to the tasks has the same size whatever the data.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,18 +58,26 @@ def held_out(key: Column) -> Column:
 
 
 def pair_counts(rows: DataFrame) -> DataFrame:
-    """Counts of word pairs over all rows of (half, toxic, text): half, toxic, pair, count."""
+    """Counts of word pairs over all rows of (half, toxic, text): context, word, n.
 
-    def build():
-        def work(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-            hashes, firsts = bare_words(data, offsets)
-            before, word = pair_ids(hashes, firsts)
-            return [kernel.text_index(firsts), (before << np.uint64(WORD_BITS) | word).astype(np.int64)]
+    A context is a word's bucket with the half and the class above it. Pairs are counted in each chunk, then moved by
+    context, so all pairs of a context meet; they are as many as there are word buckets at most.
+    """
 
-        return work
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            group = batch.column(1).to_numpy().astype(np.uint64)
+            for i, j, data, offsets in kernel.chunks(batch.column(0)):
+                hashes, firsts = bare_words(data, offsets)
+                before, word = pair_ids(hashes, firsts)
+                context = group[i:j][kernel.text_index(firsts)] << np.uint64(WORD_BITS) | before
+                pairs, n = np.unique(context << np.uint64(WORD_BITS) | word, return_counts=True)
+                columns = (pairs >> np.uint64(WORD_BITS)).astype(np.int32), (pairs & np.uint64(_WORD_MASK)).astype(np.int32), n.astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["context", "word", "n"])
 
-    pairs = kernel.map_texts(rows, build, "pair long")
-    return pairs.groupBy("half", "toxic", "pair").count()
+    grouped = rows.select("text", (F.col("half") * 2 + F.col("toxic")).cast("int").alias("group"))
+    found = grouped.mapInArrow(count, "context int, word int, n int")
+    return found.repartition("context").groupBy("context", "word").agg(F.sum("n").alias("n"))
 
 
 @dataclass(frozen=True)
@@ -116,22 +126,21 @@ def features(ratios: tuple[np.ndarray, np.ndarray], firsts: np.ndarray) -> np.nd
 
 
 def tables(counts: DataFrame) -> list[dict[str, np.ndarray]]:
-    """Count tables of each half, both classes, from all word pairs of (half, toxic, pair, count).
+    """Count tables of each half, both classes, from all word pairs of (context, word, n).
 
     Contexts, words and pairs are summed in one aggregation, so the pairs are moved once. The result has at most
     one row for each bucket of each table.
     """
-    pair = F.col("pair")
-    single = F.lit(1).cast("long")
-    many = F.when(F.col("count") > 1, F.struct(F.lit(2).alias("kind"), F.pmod(pair, F.lit(PAIR_BUCKETS)).alias("key"), F.col("count").alias("n")))
-    entries = F.array(
-        F.struct(F.lit(0).alias("kind"), F.shiftright(pair, WORD_BITS).alias("key"), F.col("count").alias("n")),
-        F.struct(F.lit(1).alias("kind"), pair.bitwiseAND(F.lit(_WORD_MASK)).alias("key"), single.alias("n")),
-        many,
-    )
-    rows = counts.select("half", "toxic", F.explode(F.array_compact(entries)).alias("e"))
-    place = F.shiftleft((F.col("e.kind") * 4 + F.col("half") * 2 + F.col("toxic")).cast("long"), 20).bitwiseOR(F.col("e.key"))
-    found = rows.select(place.alias("place"), "e.n").groupBy("place").agg(F.sum("n").alias("n"), F.count("*").cast("int").alias("kinds")).toArrow()
+    context, word, n = F.col("context").cast("long"), F.col("word").cast("long"), F.col("n")
+    group, before = F.shiftright(context, WORD_BITS), context.bitwiseAND(F.lit(_WORD_MASK))
+    pair = F.pmod(F.shiftleft(before, WORD_BITS).bitwiseOR(word), F.lit(PAIR_BUCKETS))
+
+    def entry(kind: int, key: Column, value: Column) -> Column:
+        return F.struct(F.shiftleft(group + kind * 4, 20).bitwiseOR(key).alias("place"), value.cast("long").alias("n"))
+
+    entries = F.array(entry(0, before, n), entry(1, word, F.lit(1)), F.when(n > 1, entry(2, pair, n)))
+    rows = counts.select(F.explode(F.array_compact(entries)).alias("e")).select("e.place", "e.n")
+    found = rows.groupBy("place").agg(F.sum("n").alias("n"), F.count("*").cast("int").alias("kinds")).toArrow()
     place, n, kinds = (found[c].to_numpy() for c in ("place", "n", "kinds"))
     group, key = place >> 20, place & ((1 << 20) - 1)
     out = []
