@@ -37,11 +37,17 @@ _EMPTY = hashlib.sha256(b"").hexdigest()
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Anchor positions, their hashes, and the first and last start of the strings they belong to."""
+    """Anchor positions, their hashes, the first and last start of the strings they belong to; and repeated spans.
+
+    In periodic text each period has an anchor of its own. Where all strings of an anchor equal those a step before
+    them, they are known to repeat: they are given as spans (begin, end), and the anchor is left out, as the one
+    before stands for it.
+    """
     half, none = length // 2, np.zeros(0, dtype=np.int64)
+    nothing = (none, none.astype(np.uint64), none, none, none, none)
     n = len(data) - half + 1
     if n <= length - half:
-        return none, none.astype(np.uint64), none, none
+        return nothing
     sums = kernel.prefix_sums(data)
     _, inverse = kernel._power_tables(len(data))
     hashes = (sums[half:] - sums[:n]) * inverse[:n]
@@ -74,12 +80,30 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
     np.add.at(valid, offsets[:-1][long] + sizes[long] - length + 1, -1)
     inside = np.flatnonzero(np.cumsum(valid[:-1]) > 0)
     if not len(inside):
-        return none, none.astype(np.uint64), none, none
+        return nothing
     own = at[inside]
     # A run of strings with one anchor; strings of different texts never share one, as it lies in the text.
     head = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
     tail = np.append(head[1:], len(own)) - 1
-    return own[head], hashes[own[head]], inside[head], inside[tail]
+    places, first, last = own[head], inside[head], inside[tail]
+    # The smallest of many hashes has few leading bits left; mixed again, it can be placed by them.
+    found = kernel.mix(hashes[places])
+    step = np.diff(places)
+    later = np.flatnonzero((found[1:] == found[:-1]) & (first[1:] - step >= offsets[np.searchsorted(offsets, places[1:], "right") - 1]) & (step > 0)) + 1
+    step = step[later - 1]
+    begin, end = first[later], last[later] + length
+    equal = kernel.span_hashes(sums, begin, end) == kernel.span_hashes(sums, begin - step, end - step)
+    later, begin, end = later[equal], begin[equal] - step[equal], end[equal]
+    keep = np.ones(len(places), dtype=bool)
+    keep[later] = False
+    # Spans of neighbours overlap: one span for each stretch of one text.
+    if len(begin):
+        text = np.searchsorted(offsets, begin, "right") - 1
+        reach = np.maximum.accumulate(end)
+        fresh = np.concatenate(([True], (begin[1:] > reach[:-1]) | (text[1:] != text[:-1])))
+        at = np.flatnonzero(fresh)
+        begin, end = np.minimum.reduceat(begin, at), np.maximum.reduceat(end, at)
+    return places[keep], found[keep], first[keep], last[keep], begin, end
 
 
 def _long_texts(docs: DataFrame, length: int) -> DataFrame:
@@ -93,7 +117,7 @@ def repeated_anchors(docs: DataFrame, length: int) -> DataFrame:
 
     def build():
         def work(data: np.ndarray, offsets: np.ndarray) -> list:
-            places, hashes, _, _ = anchors(data, offsets, length)
+            places, hashes, *_ = anchors(data, offsets, length)
             text = np.searchsorted(offsets, places, "right") - 1
             return [text, hashes.view(np.int64), (places - offsets[text]).astype(np.int64)]
 
@@ -112,6 +136,7 @@ def suffixes(docs: DataFrame, repeated: DataFrame, length: int) -> DataFrame:
     """Suffixes at anchors that may be repeated, with what the strings around them hold on either side.
 
     Columns: doc_id, content, lead, anchor, least and most (offsets of the anchor in its strings), before, after, at.
+    Rows without lead are spans that are known to repeat already, from ``at`` to ``anchor``.
     """
     half = length // 2
     blocks, bits = bits_of(repeated, "anchor", ANCHOR_BITS)
@@ -129,21 +154,30 @@ def suffixes(docs: DataFrame, repeated: DataFrame, length: int) -> DataFrame:
         known = shared.value
 
         def work(data: np.ndarray, offsets: np.ndarray) -> list:
-            places, hashes, first, last = anchors(data, offsets, length)
+            places, hashes, first, last, begin, end = anchors(data, offsets, length)
             spot = hashes >> np.uint64(64 - bits)
             marked = (known[(spot >> np.uint64(3)).astype(np.int64)] >> (spot & np.uint64(7)).astype(np.uint8)) & 1 > 0
             places, hashes, first, last = places[marked], hashes[marked], first[marked], last[marked]
             text = np.searchsorted(offsets, places, "right") - 1
             least, most = places - last, places - first
+            owner = np.searchsorted(offsets, begin, "right") - 1
+            zeros = np.zeros(len(begin), dtype=np.int32)
+
+            def joined(own, rest):
+                return np.concatenate((own.astype(rest.dtype), rest))
+
+            def with_nulls(column: pa.Array) -> pa.Array:
+                return pa.concat_arrays([column, pa.nulls(len(begin), pa.binary())])
+
             return [
-                text,
-                pick(data, places, np.full(len(places), min(LEADING, half))),
-                hashes.view(np.int64),
-                least.astype(np.int32),
-                most.astype(np.int32),
-                pick(data, places - most, most),
-                pick(data, places + half, length - half - least),
-                (places - offsets[text]).astype(np.int64),
+                joined(text, owner),
+                with_nulls(pick(data, places, np.full(len(places), min(LEADING, half)))),
+                joined(hashes.view(np.int64), end - offsets[owner]),
+                joined(least, zeros),
+                joined(most, zeros),
+                with_nulls(pick(data, places - most, most)),
+                with_nulls(pick(data, places + half, length - half - least)),
+                joined(places - offsets[text], begin - offsets[owner]),
             ]
 
         return work
@@ -251,6 +285,8 @@ def _string_hashes(table: pa.Table, length: int) -> Iterator[tuple[int, int, int
 def spans(found: DataFrame, length: int, largest: int = LARGEST) -> DataFrame:
     """Byte spans (doc_id, content, begin, end) of strings that occur elsewhere too, from all suffixes."""
     width = -(-length // 16) * 8 + 8
+    known = found.where("lead is null").select("doc_id", "content", F.col("at").alias("begin"), F.col("anchor").alias("end"))
+    found = found.where("lead is not null")
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -309,7 +345,7 @@ def spans(found: DataFrame, length: int, largest: int = LARGEST) -> DataFrame:
         few = found.join(frequent, "anchor", "left_anti").select(found.columns)
         many = found.join(frequent, "anchor", "left_semi").select(found.columns)
     ordered = few.repartitionByRange("lead", "anchor").sortWithinPartitions("lead", "anchor")
-    out = ordered.mapInArrow(sort, _SPANS)
+    out = ordered.mapInArrow(sort, _SPANS).unionByName(known)
     if many is None:
         return out
 
