@@ -219,11 +219,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     marks = fit.groupBy("doc_id").agg(F.when(F.max("toxic") > 0, 1).otherwise(0).alias("toxic"))
     known = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     half = F.pmod(F.xxhash64("text"), F.lit(2)).cast("int")  # copies stay together
-    rows = likely(known, marks, "doc_id").join(marks, "doc_id").select("text", "toxic", half.alias("half"))
+    # Labels grow with the data, so they are never sent to all tasks, not even where they are few.
+    rows = likely(known, marks, "doc_id").join(marks.hint("merge"), "doc_id").select("text", "toxic", half.alias("half"))
     first, second = tables(pair_counts(rows))
     keep = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_000)) < -(-1_000_000 * CURVE_ROWS // max(marks.count(), CURVE_ROWS))
     few = marks.where(keep)  # about CURVE_ROWS labels
-    sample = stored(likely(known, few, "doc_id").join(few, "doc_id").select("text", "toxic", half.alias("half")), "curve")
+    sample = stored(likely(known, few, "doc_id").join(few.hint("merge"), "doc_id").select("text", "toxic", half.alias("half")), "curve")
     found = []
     for k, other in ((0, second), (1, first)):
         found.append(_featured(sample.where(F.col("half") == k), model_of(other)).toPandas())
