@@ -2,8 +2,9 @@
 
 Documents with equal shingle sets are one class. Each class walks random trees on its own: at every level a path
 goes on with those tokens of the set whose hash together with the path is small, so similar sets reach common
-nodes. Small nodes are compared exhaustively (by size and by a 128-bit sketch); nodes that are still large
-branch on. What remains is confirmed on full sets, best pairs first, and pairs that are connected already are skipped.
+nodes. Small nodes are compared exhaustively (by size and by a 128-bit sketch). Classes of larger nodes are
+joined by the rare tokens of their sets, which loses no pair. What remains is confirmed on full sets, best pairs
+first, and pairs that are connected already are skipped.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow.llm import kernel
@@ -23,12 +24,15 @@ from parcelflow.session import stored
 SIMILAR = 80
 #: Independent trees. A pair just at the limit meets in one with chance 0.31 at DEPTH, so all miss it once in 8000.
 TREES = 24
-#: Levels walked before nodes are compared, and levels added where a node has more than SMALL classes.
+#: Levels walked before nodes are compared. Classes of nodes with more than SMALL are joined by rare tokens.
 DEPTH = 4
-DEEPER = 4
 SMALL = 32
-#: In nodes that stay large each class is compared with this many before it, in order of set size.
+#: A token that more than SMALL classes share compares each class with this many before it, in order of set size;
+#: once these are linked, all its classes that are still apart are compared, so many at a time.
 NEIGHBOURS = 8
+BLOCK = 1024
+#: Counters of the order of tokens. Any order gives the same pairs; one by frequency compares the fewest.
+ORDER_BITS = 18
 #: Least similarity by sketch: four standard deviations under the limit.
 SKETCH_LEAST = 0.58
 SKETCH_BITS = 128
@@ -117,7 +121,7 @@ _MET = "node long, a binary, b binary, similarity float, n long, sketch binary"
 def _compare(batches: Iterator[pa.RecordBatch], last: bool) -> Iterator[pa.RecordBatch]:
     """Rows (node, n, class, sketch) in order of node and n: pairs of small nodes, and the rows of large ones.
 
-    Holds SMALL rows of a node at most. ``last``: rows of large nodes are paired with those before them instead.
+    Holds SMALL rows of a node at most. ``last``: rows of large nodes are paired with NEIGHBOURS before them instead.
     """
     types = [pa.int64(), pa.binary(), pa.binary(), pa.float32(), pa.int64(), pa.binary()]
     names = ["node", "a", "b", "similarity", "n", "sketch"]
@@ -176,43 +180,121 @@ def _meet(nodes: DataFrame, last: bool) -> DataFrame:
     return rows.mapInArrow(lambda batches: _compare(batches, last), _MET)
 
 
-def _walk_on(texts: DataFrame) -> DataFrame:
-    """Deeper nodes of (class, n, sketch, paths, text)."""
+def _token_counts(sets: DataFrame) -> np.ndarray:
+    """How often tokens of each of 2^ORDER_BITS buckets occur in (text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << ORDER_BITS, dtype=np.int64)
+        for batch in batches:
+            for _, _, data, offsets in kernel.chunks(batch.column(0)):
+                grams, _ = shingle_sets(data, offsets)
+                counts += np.bincount((grams >> np.uint64(64 - ORDER_BITS)).astype(np.int64), minlength=len(counts))
+        places = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(places.astype(np.int32)), pa.array(counts[places])], names=["place", "n"])
+
+    found = sets.select("text").mapInArrow(run, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(1 << ORDER_BITS, dtype=np.int64)
+    out[found["place"].to_numpy()] = found["n"].to_numpy()
+    return out
+
+
+def prefixes(sets: DataFrame) -> DataFrame:
+    """(node, n, class, sketch, rare): the rarest tokens of each set of (class, n, sketch, text).
+
+    A similar pair shares 4/9 of the sum of its sizes at least. In one order of all tokens, a token that both share
+    is then among the first n/5 (and one) of the larger set and the first n/9 (and one) of the smaller: ``rare``.
+    """
+    shared = sets.sparkSession.sparkContext.broadcast(_token_counts(sets))  # fixed size
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
         for batch in batches:
             for i, j, data, offsets in kernel.chunks(batch.column(0)):
                 grams, begins = shingle_sets(data, offsets)
-                rows, keys = [], []
-                for k in range(i, j):
-                    own = grams[begins[k - i] : begins[k - i + 1]]
-                    paths = np.array(batch.column(4)[k].as_py(), dtype=np.int64).view(np.uint64)
-                    found = extend(paths, own, DEEPER)
-                    rows += [k] * len(found)
-                    keys += found.view(np.int64).tolist()
-                take = pa.array(rows, pa.int64())
+                often = counts[(grams >> np.uint64(64 - ORDER_BITS)).astype(np.int64)]
+                owner = kernel.text_index(begins)
+                order = np.lexsort((grams, often, owner))
+                grams, n = grams[order], np.diff(begins)[owner]
+                place = np.arange(len(grams)) - begins[:-1][owner]
+                # least overlaps, rounded up: SIMILAR of the larger set, and of two sets of the smaller one's size
+                taken = place <= n - -(-n * SIMILAR // 100)
+                rare = place <= n - -(-2 * n * SIMILAR // (100 + SIMILAR))
+                take = pa.array(owner[taken] + i)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), *(batch.column(c).take(take) for c in (2, 1, 3))], names=["node", "n", "class", "sketch"]
+                    [pa.array(grams[taken].view(np.int64)), *(batch.column(c).take(take) for c in (2, 1, 3)), pa.array(rare[taken])],
+                    names=["node", "n", "class", "sketch", "rare"],
                 )
 
-    return texts.select("text", "class", "n", "sketch", "paths").mapInArrow(run, "node long, n long, class binary, sketch binary")
+    return sets.select("text", "class", "n", "sketch").mapInArrow(run, "node long, n long, class binary, sketch binary, rare boolean")
 
 
-def candidates(reps: DataFrame, texts_of) -> DataFrame:
-    """Pairs of classes (a < b) that may be similar, with the sketch's similarity.
+def candidates(reps: DataFrame, texts_of) -> tuple[DataFrame, DataFrame | None]:
+    """Pairs of classes (a < b) that may be similar, with the sketch's similarity; and rare tokens of classes in large nodes.
 
     ``reps``: one row per class with n, sketch and nodes. ``texts_of`` gives (class, text) for a table of classes.
     """
     first = stored(_meet(reps.select("class", "n", "sketch", F.explode("nodes").alias("node")), False), "met")
-    pairs = first.where("b is not null").select("a", "b", "similarity")
+    pairs, tokens = first.where("b is not null").select("a", "b", "similarity"), None
     large = first.where("b is null")
     if not large.isEmpty():
-        # Deeper paths of a class in one row; a class has a bounded number of paths in each tree.
-        again = large.groupBy(F.col("a").alias("class")).agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.collect_set("node").alias("paths"))
-        again = stored(again, "large")
-        deeper = _walk_on(texts_of(again.select("class")).join(again, "class"))
-        pairs = pairs.unionByName(_meet(deeper, True).select("a", "b", "similarity"))
-    return stored(pairs.groupBy("a", "b").agg(F.max("similarity").alias("similarity")), "pairs")
+        again = stored(large.groupBy(F.col("a").alias("class")).agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")), "large")
+        tokens = stored(prefixes(stored(texts_of(again.select("class")).join(again, "class"), "texts")), "tokens")
+        pairs = pairs.unionByName(_meet(tokens, True).select("a", "b", "similarity"))
+    return stored(pairs.groupBy("a", "b").agg(F.max("similarity").alias("similarity")), "pairs"), tokens
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of rows (cell, right, n, class, sketch, root) in order of cell and right: each left row with each right row of its cell.
+
+    Holds the left rows of a cell, about BLOCK; they are not larger than their partners.
+    """
+    cell, left, ready = None, [], None
+    for batch in batches:
+        out: list[tuple] = []
+        for key, right, n, name, bits, root in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
+            if key != cell:
+                cell, left, ready = key, [], None
+            if not right:
+                left.append((n, name, bits, root))
+                continue
+            if not left:
+                continue
+            if ready is None:
+                roots = {x[3]: k for k, x in enumerate(left)}
+                sizes = np.array([x[0] for x in left])
+                sketches = np.frombuffer(b"".join(x[2] for x in left), dtype=np.uint8).reshape(len(left), -1)
+                ready = roots, np.array([roots[x[3]] for x in left]), sizes, sketches
+            roots, own, sizes, sketches = ready
+            near = np.flatnonzero((sizes <= n) & (sizes * 100 >= SIMILAR * n) & (own != roots.get(root, -1)))
+            if len(near):
+                apart = _POPCOUNT[sketches[near] ^ np.frombuffer(bits, dtype=np.uint8)].sum(axis=1)
+                for k in near[1 - 2 * apart / SKETCH_BITS >= SKETCH_LEAST].tolist():
+                    out.append((min(left[k][1], name), max(left[k][1], name)))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*set(out), strict=True)], names=["a", "b"])
+
+
+def apart(tokens: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes that share a token of more than SMALL classes and have different roots.
+
+    A token's rare rows and all its rows are dealt into blocks, and each two blocks meet in a cell of their own.
+    """
+    at = roots.select(F.col("node").alias("class"), "root")
+    often = stored(tokens.groupBy("node").agg(F.count("*").alias("rows"), F.count_if("rare").alias("lefts")).where(f"rows > {SMALL} and lefts > 0"), "often")
+    placed = likely(tokens, often.select("node"), "node").join(often, "node").join(at, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    placed = stored(placed, "placed")
+    mixed = placed.groupBy("node").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("node")
+    rows = placed.join(mixed, "node")
+    lefts, rights = F.ceil(F.col("lefts") / BLOCK), F.ceil(F.col("rows") / (8 * BLOCK))
+    salt = F.xxhash64("class", F.lit(3))
+
+    def dealt(rows: DataFrame, right: int, own: Column, others: Column) -> DataFrame:
+        both = rows.withColumn("_own", F.pmod(salt, own)).withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), others - 1)))
+        x, y = ("_other", "_own") if right else ("_own", "_other")
+        return both.select(F.xxhash64("node", x, y).alias("cell"), F.lit(right).alias("right"), "n", "class", "sketch", "root")
+
+    cells = dealt(rows.where("rare"), 0, lefts, rights).unionByName(dealt(rows, 1, rights, lefts))
+    return cells.repartition("cell").sortWithinPartitions("cell", "right").mapInArrow(_across, "a binary, b binary").distinct()
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -239,7 +321,7 @@ def set_rows(texts: DataFrame) -> DataFrame:
 
 def join_classes(reps: DataFrame, texts_of) -> DataFrame:
     """Root of every class that is linked with another: node, root."""
-    pairs = candidates(reps, texts_of)
+    pairs, tokens = candidates(reps, texts_of)
     ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "ends")
     sets = stored(set_rows(texts_of(ends)), "sets")
     links, roots = None, None
@@ -258,6 +340,12 @@ def join_classes(reps: DataFrame, texts_of) -> DataFrame:
         found = stored(confirmed(left.select("a", "b"), sets), "links")
         links = found if links is None else links.unionByName(found)
         roots = components(links)
+    if tokens is not None:
+        left = stored(apart(tokens, roots).join(pairs, ["a", "b"], "left_anti"), "apart")
+        if not left.isEmpty():
+            ends = stored(left.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "ends")
+            sets = stored(set_rows(texts_of(ends)), "sets")
+            roots = components(links.unionByName(stored(confirmed(left, sets), "links")))
     return roots
 
 

@@ -406,6 +406,40 @@ def test_near_duplicates_in_large_nodes(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute.near_components(texts)
 
 
+def test_near_duplicates_in_a_family_with_a_template(spark, monkeypatch):
+    monkeypatch.setattr(chosen_path, "BLOCK", 16)
+    base, texts = [f"t{i}" for i in range(267)], {}
+    for k in range(2000):  # any two are just under 0.8 alike
+        texts[k] = " ".join(base + [f"own{k}-{i}" for i in range(34)])
+    twins = {k: 1999 - 37 * k for k in range(1, 41)}
+    for a, b in twins.items():  # 0.80 alike
+        texts[b] = " ".join([*base, f"own{a}-0"] + [f"own{b}-{i}" for i in range(33)])
+    sets = {k: brute.shingle_set(t) for k, t in texts.items()}
+    assert all(0.8 <= len(sets[a] & sets[b]) / len(sets[a] | sets[b]) < 0.81 for a, b in twins.items())
+    assert 0.79 < len(sets[50] & sets[60]) / len(sets[50] | sets[60]) < 0.8
+    rows = chosen_path.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    linked = {max(pair): min(pair) for pair in twins.items()}
+    assert {r.doc_id: r.component_id for r in rows} == {k: linked.get(k, k) for k in texts}
+
+
+def test_near_duplicates_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(chosen_path, "BLOCK", 4)
+    monkeypatch.setattr(chosen_path, "SMALL", 4)
+    rows = []
+    for k in range(40):
+        rows += [(t, k + 100 * (k % 2), int(k).to_bytes(1, "big"), b"\0" * 16, k % 4 != 3) for t in (1, 2)]
+    tokens = spark.createDataFrame(rows, "node long, n long, class binary, sketch binary, rare boolean")
+    roots = spark.createDataFrame([(bytes([k]), bytes([k % 20])) for k in range(20, 40)], "node binary, root binary")
+    sizes = {k: k + 100 * (k % 2) for k in range(40)}
+    want = {
+        (min(a, b), max(a, b))
+        for a in range(40)
+        for b in range(40)
+        if a % 20 != b % 20 and a % 4 != 3 and sizes[a] <= sizes[b] and sizes[a] * 100 >= 80 * sizes[b]
+    }
+    assert {(r.a[0], r.b[0]) for r in chosen_path.apart(tokens, roots).collect()} == want
+
+
 def test_near_duplicates_of_odd_rows(odd, empty):
     rows = chosen_path.near_duplicates(odd).collect()
     assert counts(rows) == IDS
