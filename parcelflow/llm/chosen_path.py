@@ -33,8 +33,8 @@ NEIGHBOURS = 8
 BLOCK = 1024
 #: Counters of the order of tokens. Any order gives the same pairs; one by frequency compares the fewest.
 ORDER_BITS = 18
-#: Least similarity by sketch: four standard deviations under the limit.
-SKETCH_LEAST = 0.58
+#: Pairs are confirmed by their sets alone where the smaller has fewer tokens than this: one token then owns many bins.
+SKETCH_TOKENS = 200
 SKETCH_BITS = 128
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -90,6 +90,13 @@ def sketch(tokens: np.ndarray) -> bytes:
     return np.packbits((value & np.uint64(1)).astype(np.uint8)).tobytes()
 
 
+def least_by_sketch(n: np.ndarray) -> np.ndarray:
+    """Least similarity by sketch where the smaller set has n tokens: six standard deviations under the limit."""
+    share = SIMILAR / 100
+    spread = np.sqrt((1 - share) * (1 + share) / SKETCH_BITS + 0.12 / np.maximum(n, 1))  # of bins, and of the tokens in them
+    return np.where(n < SKETCH_TOKENS, -1.0, share - 6 * spread)
+
+
 def class_of(tokens: np.ndarray) -> bytes:
     """128-bit name of a set."""
     a, b = kernel.mix(tokens), kernel.mix(tokens + _ODD)
@@ -134,9 +141,10 @@ def _compare(batches: Iterator[pa.RecordBatch], last: bool) -> Iterator[pa.Recor
             return
         bits = np.frombuffer(b"".join(x[2] for x in fits), dtype=np.uint8).reshape(len(fits), -1)
         apart = _POPCOUNT[bits ^ np.frombuffer(right[2], dtype=np.uint8)].sum(axis=1)
-        for x, d in zip(fits, apart.tolist(), strict=True):
+        least = least_by_sketch(np.array([min(x[0], right[0]) for x in fits]))
+        for x, d, limit in zip(fits, apart.tolist(), least.tolist(), strict=True):
             similarity = 1 - 2 * d / SKETCH_BITS
-            if similarity >= SKETCH_LEAST and x[1] != right[1]:
+            if similarity >= limit and x[1] != right[1]:
                 out.append((node, min(x[1], right[1]), max(x[1], right[1]), similarity, None, None))
 
     def close() -> None:
@@ -268,7 +276,7 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             near = np.flatnonzero((sizes <= n) & (sizes * 100 >= SIMILAR * n) & (own != roots.get(root, -1)))
             if len(near):
                 apart = _POPCOUNT[sketches[near] ^ np.frombuffer(bits, dtype=np.uint8)].sum(axis=1)
-                for k in near[1 - 2 * apart / SKETCH_BITS >= SKETCH_LEAST].tolist():
+                for k in near[1 - 2 * apart / SKETCH_BITS >= least_by_sketch(sizes[near])].tolist():
                     out.append((min(left[k][1], name), max(left[k][1], name)))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*set(out), strict=True)], names=["a", "b"])
