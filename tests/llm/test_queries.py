@@ -16,7 +16,7 @@ def texts(spark):
 
 
 def test_all_are_registered():
-    assert {int(q[2:].split("_")[0]) for q in queries.QUERIES} == set(range(1, 11))
+    assert {int(q[2:].split("_")[0]) for q in queries.QUERIES} == set(range(1, 14))
     assert {*queries.QUERIES, "pipeline"} <= set(contract.queries()) and set(queries.SQL) <= set(contract.oracle_sql())
 
 
