@@ -28,7 +28,7 @@ COVERED = 50
 #: Phrases reported for each language.
 TOP = 2000
 #: Occurrences that a task counts at once.
-COUNTED = 1 << 20
+COUNTED = 1 << 19
 #: The semi-join's filter has this many bits at most (a power of two); beyond, more phrases pass it that later counts drop.
 FILTER_BITS = 27
 
@@ -56,13 +56,13 @@ def _salt(lang: str, salt: int) -> np.uint64:
 def occurrences(docs: DataFrame, salt: int = 0) -> DataFrame:
     """Two tables in one. ``ids`` not null: a text's words in order, 0 before each new piece. Else: a word of some texts, its id and count.
 
-    An id is a 64-bit hash of word and language.
+    An id is a 64-bit hash of word and language. ``ids`` holds 8 bytes for each, which Spark moves as they are.
     """
-    fields = "lang string, ids array<long>, word binary, id long, n long"
+    fields = "lang string, ids binary, word binary, id long, n long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["lang", "ids", "word", "id", "n"]
-        empty_list, salts = pa.list_(pa.int64()), {}
+        salts: dict[str, np.uint64] = {}
         for batch in batches:
             for i, j, data, offsets in kernel.chunks(batch.column(0)):
                 starts, ends, firsts, opens = piece_words(data, offsets)
@@ -78,7 +78,7 @@ def occurrences(docs: DataFrame, salt: int = 0) -> DataFrame:
                 row[at] = ids
                 zeros = np.concatenate(([0], np.cumsum(opens)))
                 begins = firsts + zeros[firsts]
-                lists = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(row))
+                lists = _packed(row, begins)
                 n = j - i
                 yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), lists, pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names=names)
                 kinds, first, count = np.unique(ids, return_index=True, return_counts=True)
@@ -86,7 +86,7 @@ def occurrences(docs: DataFrame, salt: int = 0) -> DataFrame:
                 found = [raw[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
                 n = len(kinds)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([langs[k] for k in text[first].tolist()], pa.string()), pa.nulls(n, empty_list), pa.array(found, pa.binary()), pa.array(kinds), pa.array(count, pa.int64())], names=names
+                    [pa.array([langs[k] for k in text[first].tolist()], pa.string()), pa.nulls(n, pa.binary()), pa.array(found, pa.binary()), pa.array(kinds), pa.array(count, pa.int64())], names=names
                 )
 
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
@@ -129,15 +129,16 @@ def _windows(row: np.ndarray, length: int) -> np.ndarray:
     return np.flatnonzero(zeros[length : length + n] == zeros[:n]) if n > 0 else np.zeros(0, dtype=np.int64)
 
 
-def _rows(batch: pa.RecordBatch, column: int = 0, limit: int = COUNTED) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Ids of many texts, one 0 in front of each, about ``limit`` at a time, and the offsets of the texts."""
-    lists = batch.column(column)
-    begins = lists.offsets.to_numpy()
-    values, i, n = lists.values.to_numpy(zero_copy_only=False), 0, len(lists)
-    while i < n:
-        j = max(i + 1, int(np.searchsorted(begins, begins[i] + limit, "right")) - 1)
-        yield values[begins[i] : begins[j]], begins[i : j + 1] - begins[i]
-        i = j
+def _packed(ids: np.ndarray, begins: np.ndarray) -> pa.Array:
+    """Ids of many texts as one byte string each."""
+    offsets = (begins * 8).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(begins) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+
+
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids of many texts, one 0 in front of each, about COUNTED at a time, and where each text's begin."""
+    for _, _, data, offsets in kernel.chunks(batch.column(0), 8 * COUNTED):
+        yield np.frombuffer(data.tobytes(), dtype=np.int64), offsets // 8
 
 
 def kept(relation: DataFrame, grams: DataFrame, length: int) -> DataFrame:
@@ -150,23 +151,24 @@ def kept(relation: DataFrame, grams: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap, bits = shared.value
         for batch in batches:
-            for row, _ in _rows(batch):
+            for row, texts in _rows(batch):
                 at = _windows(row, length)
                 at = at[_among(gram_hash([row[at + k] for k in range(length)]), bitmap, bits)]
                 if not len(at):
                     continue
-                # Runs of phrases that begin side by side share their words; between runs goes a 0.
+                # Runs of phrases that begin side by side share their words; before each run goes a 0.
                 new = np.concatenate(([True], np.diff(at) > 1))
                 run_start, run_end = at[new], at[np.concatenate((new[1:], [True]))] + length
                 sizes = run_end - run_start + 1
+                begins = np.cumsum(sizes) - sizes
                 out = np.zeros(int(sizes.sum()), dtype=np.int64)
                 inside = np.ones(len(out), dtype=bool)
-                inside[np.cumsum(sizes) - sizes] = False
+                inside[begins] = False
                 out[inside] = row[kernel.slices_of(run_start, run_end - run_start)]
-                # texts are told apart by the 0 in front, so one row may hold several of them
-                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(out)], pa.int32()), pa.array(out))], names=["ids"])
+                first = np.unique(np.searchsorted(texts, run_start, "right"), return_index=True)[1]
+                yield pa.RecordBatch.from_arrays([_packed(out, np.append(begins[first], len(out)))], names=["ids"])
 
-    return stored(relation.select("ids").mapInArrow(run, "ids array<long>"), f"relation-{length}")
+    return stored(relation.select("ids").mapInArrow(run, "ids binary"), f"relation-{length}")
 
 
 def frequent(relation: DataFrame, length: int, least: int = LEAST) -> DataFrame:
