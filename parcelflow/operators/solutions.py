@@ -63,7 +63,7 @@ def route_archive(solutions: DataFrame) -> DataFrame:
 
 
 def route_lines(solutions: DataFrame) -> DataFrame:
-    return solutions.select("finished_at_clean", F.col("output.polylines").alias("polylines"))
+    return solutions.select("id", "finished_at_clean", F.col("output.polylines").alias("polylines"))
 
 
 def driver_stops(solutions: DataFrame, *extra: Column | str) -> DataFrame:

@@ -10,7 +10,7 @@ from parcelflow import config
 from parcelflow.operators import packing, requests, solutions
 from parcelflow.operators.orders import having_status
 from parcelflow.schemas import SOLUTION
-from parcelflow.sources import files, sinks, tables
+from parcelflow.sources import files, ledger, sinks, tables
 
 
 def pack_orders(
@@ -35,9 +35,9 @@ def request_batches(
 
 
 def load_solutions(spark: SparkSession, answers_path: str, table_path: str, multi_line: bool = True) -> None:
-    """Answers by dispatch hour. Hours that the answers have are replaced, so a second run adds no copies."""
+    """Answers by dispatch hour. Earlier answers stay, a repeated load adds none, a corrected answer replaces its older self."""
     answers = files.read_documents(spark, answers_path, SOLUTION, multi_line)
-    sinks.overwrite_partitions(solutions.with_dispatch_times(answers), table_path, ["dispatched_hour"])
+    ledger.load(solutions.with_dispatch_times(answers), table_path, "dispatched_hour")
 
 
 def build_report_table(spark: SparkSession, table_path: str, report_path: str) -> None:
@@ -51,12 +51,12 @@ def archive_routes(spark: SparkSession, table_path: str, archive_path: str) -> N
 def load_by_date(spark: SparkSession, answers: DataFrame, bronze_path: str, silver_path: str, lines_path: str) -> None:
     """Older layout: raw answers by next day, chosen columns by day, drawing lines by run.
 
-    Days that the answers have are replaced in each table, so later loads arrive and second runs add no copies.
+    Every table keeps the answers of earlier loads; repeated ones add nothing and corrected ones replace their older selves.
     """
-    sinks.overwrite_partitions(solutions.next_day_partition(answers), bronze_path, ["dispatched_date"])
+    ledger.load(solutions.next_day_partition(answers), bronze_path, "dispatched_date")
     silver = solutions.same_day_partition(answers)
-    sinks.overwrite_partitions(silver, silver_path, ["dispatched_date"])
-    sinks.overwrite_partitions(solutions.route_lines(silver), lines_path, ["finished_at_clean"])
+    ledger.load(silver, silver_path, "dispatched_date")
+    ledger.load(solutions.route_lines(silver), lines_path, "finished_at_clean", version="finished_at_clean")
 
 
 def dispatch_served(spark: SparkSession, orders_path: str, answers: DataFrame, root: str, as_of: Column) -> str:

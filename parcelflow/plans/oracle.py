@@ -278,6 +278,20 @@ SELECT DISTINCT strftime(month_start, '%Y-%m') AS job_id FROM paid WHERE month(m
     "solution_load": f"""WITH {RUNS}
 SELECT id, finished_at, dispatched_hour, dispatched_date, num_late_visits, num_unserved, total_distance, drivers
 FROM solved""",
+    "solution_reloads": f"""WITH {RUNS},
+marked AS (SELECT *, run % 3 <> 0 AND run % 4 = 1 AS fixed FROM solved)
+SELECT id, strftime(done_at + CASE WHEN fixed THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END, '%Y-%m-%dT%H:%M:%SZ') AS finished_at,
+  CASE WHEN fixed THEN 'UNKNOWN' ELSE dispatched_hour END AS dispatched_hour,
+  strftime(done_at + CASE WHEN fixed THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END, '%Y-%m-%d') AS dispatched_date,
+  num_late_visits, num_unserved, total_distance, drivers, CASE WHEN fixed THEN 'corrected' ELSE 'madrid' END AS region
+FROM marked""",
+    "solution_reloads_by_date": f"""WITH {RUNS},
+marked AS (
+  SELECT id, run % 3 <> 0 AND run % 4 = 1 AS fixed, done_at + CASE WHEN fixed THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END AS moved FROM runs)
+SELECT id, CASE WHEN fixed THEN 'corrected' ELSE 'madrid' END AS region, strftime(moved, '%Y-%m-%dT%H:%M:%SZ') AS finished_at,
+  strftime(moved, '%Y-%m-%d_%H-%M-%S') AS finished_at_clean, strftime(moved, '%Y-%m-%d') AS dispatched_date,
+  strftime(moved + INTERVAL 1 DAY, '%Y-%m-%d') AS bronze_date, finished_at_clean AS drawn_at
+FROM marked""",
     "multi_line_answers": f"""WITH {RUNS}
 SELECT id, finished_at, dispatched_hour, dispatched_date, num_late_visits, num_unserved, total_distance, drivers
 FROM solved""",
