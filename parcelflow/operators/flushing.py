@@ -6,13 +6,16 @@ walk then goes from release to release, not from order to order. Loads are whole
 times whole microseconds, so sums don't depend on where they begin. Spark shuffles and sorts. A key
 too large for one task is cut into slices which are walked in parallel:
 
-1. Whoever enters a slice with orders already waiting releases them at one of the slice's first
-   orders, at the latest where somebody entering empty-handed would. So for these few orders only,
-   each slice notes how it would be left if the release happened there.
-2. Going over these notes, slice after slice, tells with which waiting totals each slice is entered.
-3. Knowing that, all slices are numbered at once; the entries are a table that is joined by slice.
-
-A slice in which nothing is released notes all its orders: a single group larger than a slice is walked as a whole.
+1. Whoever enters a slice with orders already waiting releases them at one of the slice's first orders, at the latest where
+   somebody entering empty-handed would. So only these few orders are places at which a group that began earlier can end.
+   For each, its slice tells how it is left, and totals of all slices tell in which later slice the group then open ends.
+2. That slice finds the order. This gives a pointer from each place to the next one; pointers that no orders before could
+   reach are never made.
+3. Pointers are doubled in rounds of joins, as many as the logarithm of the slices, and followed from where each key begins. The
+   places so reached tell with which waiting totals each slice is entered.
+4. Knowing that, all slices are numbered at once; the entries are a table that is joined by slice.
+
+A group may span any number of slices: to a task go its slice's orders, the pointers that end there, and totals of slices.
 """
 
 from __future__ import annotations
@@ -21,9 +24,8 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
@@ -157,86 +159,177 @@ def _number_sorted(limits: Bounds, name: str):
     return number
 
 
-def _first_and_last(limits: Bounds):
-    """Per slice: the notes on its first key, and the open group of its last key if that begins here."""
+@dataclass(frozen=True)
+class Span:
+    """Totals of a key that lies in several slices, slice by slice: up to each slice's end, and its last time."""
+
+    slices: np.ndarray
+    weights: np.ndarray
+    volumes: np.ndarray
+    last: np.ndarray
+    first: int
+
+    def before(self, place: int) -> tuple[int, int]:
+        return (int(self.weights[place - 1]), int(self.volumes[place - 1])) if place else (0, 0)
+
+
+def _spans(cut: DataFrame) -> dict[str, Span]:
+    """Keys that lie in several slices. A slice shares its first and its last key at most, so there are two rows per slice."""
+    parts = cut.groupBy("_key", "_slice").agg(
+        F.sum("_weight").alias("w"), F.sum("_volume").alias("v"), F.min("_at").alias("first"), F.max("_at").alias("last")
+    )
+    shared = parts.groupBy("_key").count().where("count > 1").select("_key")
+    rows = parts.join(shared, "_key").toPandas().sort_values(["_key", "_slice"])
+    return {
+        key: Span(part["_slice"].to_numpy(), part["w"].to_numpy().cumsum(), part["v"].to_numpy().cumsum(), part["last"].to_numpy(), int(part["first"].iat[0]))
+        for key, part in rows.groupby("_key", sort=False)
+    }
+
+
+_PLACES = "_key string, _slice bigint, id bigint, number bigint, weight bigint, volume bigint, since bigint, target bigint"
+_FOUND = "id bigint, next bigint"
+_ENTRIES = "_slice bigint, _key string, _number bigint, _enter_weight bigint, _enter_volume bigint, _since bigint"
+
+
+def _place_id(slice_number: int, position: int | np.ndarray) -> int | np.ndarray:
+    """Number of an order's place among all slices; -1 is the beginning of a key."""
+    return (slice_number << 32) + position + 1
+
+
+def _places(limits: Bounds, shared):
+    """Per slice: the orders at which a group that began earlier can end, and how the slice is left after each.
 
-    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ``weight``, ``volume`` and ``since`` are those of the group that is open at the slice's end, ``target`` is the slice where it ends.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [batch for batch in batches if batch.num_rows]
         if not parts:
             return
-        table = pa.Table.from_batches(parts).combine_chunks()
+        table, spans = pa.Table.from_batches(parts).combine_chunks(), shared.value
         runs = list(key_runs(table.column("_key").chunk(0)))
         slice_number = table.column("_slice")[0].as_py()
-        key, start, end = runs[0]
-        first = _orders(table, start, end, limits)
-        count, opened = first.ends()
-        notes = []
-        weights, volumes = np.diff(first.weights).tolist(), np.diff(first.volumes).tolist()
-        for position in range(min(first.first_release(Waiting()) + 1, first.n)):
-            left = first.open_since(opened[position + 1], count[position + 1])
-            row = (weights[position], volumes[position], int(first.times[position]))
-            notes.append((slice_number, position, key, *row, left.number, left.weight, left.volume, left.since))
-        if len(runs) > 1:
-            key, start, end = runs[-1]
-            _, left = _orders(table, start, end, limits).numbers(Waiting())
-            notes.append((slice_number, start, key, 0, 0, 0, left.number, left.weight, left.volume, left.since))
-        yield pa.RecordBatch.from_arrays([pa.array(column) for column in zip(*notes, strict=True)], names=list(_NOTES))
-
-    return summarise
-
-
-_NOTES = {
-    "_slice": "bigint",
-    "position": "bigint",
-    "_key": "string",
-    "weight": "bigint",
-    "volume": "bigint",
-    "at": "bigint",
-    "number": "bigint",
-    "left_weight": "bigint",
-    "left_volume": "bigint",
-    "left_since": "bigint",
-}
-_ENTRIES = {
-    "_slice": "bigint",
-    "_key": "string",
-    "_number": "bigint",
-    "_enter_weight": "bigint",
-    "_enter_volume": "bigint",
-    "_since": "bigint",
-}
-
-
-def _ddl(columns: dict[str, str]) -> str:
-    return ", ".join(f"`{name}` {kind}" for name, kind in columns.items())
-
-
-def _enter_slices(limits: Bounds):
-    """Walk the notes of one key over its slices: with which open group is each slice entered?"""
-
-    def walk(notes: pd.DataFrame) -> pd.DataFrame:
-        waiting, entries = None, []
-        for slice_number, here in notes.sort_values(["_slice", "position"]).groupby("_slice", sort=True):
-            key = here["_key"].iat[0]
-            if waiting is None:
-                waiting = Waiting()
-                if not bool((here["position"] == 0).any()):  # the key begins inside this slice
-                    last = here.iloc[-1]
-                    waiting = Waiting(*(int(last[c]) for c in ("number", "left_weight", "left_volume", "left_since")))
-                    continue
-            else:
-                entries.append((slice_number, key, waiting.number, waiting.weight, waiting.volume, waiting.since))
-            first = Orders(*(here[c].to_numpy() for c in ("weight", "volume", "at")), limits)
-            end = first.first_release(waiting)
-            if end < first.n:
-                note = here.iloc[end]
-                left = (int(note[c]) for c in ("left_weight", "left_volume", "left_since"))
-                waiting = Waiting(waiting.number + 1 + int(note["number"]), *left)
+        for key, start, end in {runs[0], runs[-1]}:
+            span = spans.get(key)
+            if span is None:
+                continue
+            here = int(np.searchsorted(span.slices, slice_number))
+            own = _orders(table, start, end, limits)
+            if here == 0:  # the key begins here
+                _, left = own.numbers(Waiting())
+                ids, states = np.array([_place_id(slice_number, -1)]), np.array([[left.number, left.weight, left.volume, left.since]])
             else:
-                _, waiting = first.numbers(waiting)
-        return pd.DataFrame(entries, columns=list(_ENTRIES))
-
-    return walk
+                weight, volume = span.before(here)
+                # nobody enters with more than all that came before
+                first = own.first_release(Waiting(0, weight, volume, span.first))
+                positions = np.arange(first, min(own.first_release(Waiting()) + 1, own.n))
+                if not len(positions):
+                    continue
+                count, opened = (np.array(x) for x in own.ends())
+                opener = opened[positions + 1]
+                ids = _place_id(slice_number, positions)
+                states = np.stack([count[positions + 1], own.weights[-1] - own.weights[opener], own.volumes[-1] - own.volumes[opener], own.times[opener - 1]], axis=1)
+            by_weight = np.searchsorted(span.weights, limits.weight - states[:, 1] + span.weights[here])
+            by_volume = np.searchsorted(span.volumes, limits.volume - states[:, 2] + span.volumes[here])
+            by_age = np.searchsorted(span.last, states[:, 3] + limits.age)
+            at = np.maximum(np.minimum(np.minimum(by_weight, by_volume), by_age), here + 1)
+            ends = at < len(span.slices)
+            target = pa.array(span.slices[np.where(ends, at, 0)], mask=~ends)
+            n = len(ids)
+            columns = [pa.array([key] * n, pa.string()), pa.array(np.full(n, slice_number)), pa.array(ids), *(pa.array(states[:, k].astype(np.int64)) for k in range(4)), target]
+            yield pa.RecordBatch.from_arrays(columns, names=[field.split()[0] for field in _PLACES.split(", ")])
+
+    return run
+
+
+def _endings(limits: Bounds, shared):
+    """Rows of (_slice, _kind, _at, ...): a slice's orders (0), then places whose groups end in it (1): the order at which each ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held, own = None, [], None
+        for batch in batches:
+            slices, kinds = batch.column("_slice").to_numpy(), batch.column("_kind").to_numpy()
+            borders = np.flatnonzero((np.diff(slices) != 0) | (np.diff(kinds) != 0)) + 1
+            for start, end in zip([0, *borders], [*borders, batch.num_rows], strict=True):
+                if start == end:
+                    continue
+                if slices[start] != current:
+                    current, held, own = slices[start], [], None
+                part = batch.slice(start, end - start)
+                if kinds[start] == 0:
+                    held.append(part)
+                    continue
+                if own is None:
+                    table = pa.Table.from_batches(held).combine_chunks()
+                    weights, volumes = (np.concatenate(([0], np.cumsum(table.column(c).to_numpy()))) for c in ("weight", "volume"))
+                    own, times, held = (weights, volumes), table.column("since").to_numpy(), []
+                weights, volumes = own
+                span = shared.value[part.column("_key")[0].as_py()]
+                here = int(np.searchsorted(span.slices, current))
+                carried = np.array([span.before(int(k)) for k in np.searchsorted(span.slices, part.column("origin").to_numpy()) + 1])
+                before = span.before(here)
+                by_weight = np.searchsorted(weights, limits.weight - part.column("weight").to_numpy() - (before[0] - carried[:, 0])) - 1
+                by_volume = np.searchsorted(volumes, limits.volume - part.column("volume").to_numpy() - (before[1] - carried[:, 1])) - 1
+                by_age = np.searchsorted(times, part.column("since").to_numpy() + limits.age)
+                at = np.maximum(np.minimum(np.minimum(by_weight, by_volume), by_age), 0)
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(_place_id(int(current), at))], names=["id", "next"])
+
+    return run
+
+
+def _followed(places: DataFrame, found: DataFrame, longest: int) -> DataFrame:
+    """Places that are reached from where their keys begin: id, and the number of the group open after it."""
+    hops = stored(found.join(places.select(F.col("id").alias("next"), (F.col("number") + 1).alias("add")), "next").select("id", "next", "add"), "hops")
+    doubled = [hops]
+    while 1 << len(doubled) < longest and not doubled[-1].isEmpty():
+        one = doubled[-1]
+        two = one.select(F.col("id").alias("next"), F.col("next").alias("then"), F.col("add").alias("more"))
+        doubled.append(stored(one.join(two, "next").select("id", F.col("then").alias("next"), (F.col("add") + F.col("more")).alias("add")), "hops"))
+    reached = places.where(F.col("id").bitwiseAND(F.lit((1 << 32) - 1)) == 0).select("id", "number")
+    for steps in reversed(doubled):
+        further = reached.join(steps, "id").select(F.col("next").alias("id"), (F.col("number") + F.col("add")).alias("number"))
+        reached = stored(reached.unionByName(further), "reached")
+    return reached
+
+
+def _entries(cut: DataFrame, limits: Bounds) -> DataFrame:
+    """With which open group each slice is entered that goes on with the key of the slice before."""
+    spark = cut.sparkSession
+    spans = _spans(cut)
+    if not spans:
+        return spark.createDataFrame([], _ENTRIES)
+    shared = spark.sparkContext.broadcast(spans)  # two rows per slice
+    places = stored(cut.select("_slice", "_key", "_weight", "_volume", "_at").mapInArrow(_places(limits, shared), _PLACES), "places")
+    asked = places.where("target is not null").select(
+        F.col("target").alias("_slice"), F.lit(1).alias("_kind"), F.col("since").alias("_at"), F.col("id"), "_key", F.col("_slice").alias("origin"), "weight", "volume", "since"
+    )
+    # A slice's first orders are those of the key that goes on in it; rows of a partition are numbered in its order.
+    numbered = cut.select("_slice", "_key", "_weight", "_volume", "_at").withColumn("id", F.monotonically_increasing_id())
+    ends_here = asked.select("_slice", "_key").distinct()
+    orders = numbered.join(ends_here, ["_slice", "_key"]).select(
+        "_slice", F.lit(0).alias("_kind"), "_at", "id", "_key", F.lit(0).cast("bigint").alias("origin"), F.col("_weight").alias("weight"), F.col("_volume").alias("volume"), F.col("_at").alias("since")
+    )
+    both = orders.unionByName(asked).repartition("_slice").sortWithinPartitions("_slice", "_kind", "id")
+    found = stored(both.mapInArrow(_endings(limits, shared), _FOUND), "endings")
+    reached = _followed(places, found, max(len(span.slices) for span in spans.values()))
+    left = places.drop("number").join(reached, "id").select("_key", "_slice", F.struct("number", "weight", "volume", "since", "_slice").alias("left"))
+    rows = [
+        (key, int(n), *span.before(k), *span.before(k + 1))
+        for key, span in spans.items()
+        for k, n in enumerate(span.slices)
+    ]  # two rows per slice
+    totals = spark.createDataFrame(rows, "_key string, _slice bigint, w0 bigint, v0 bigint, w1 bigint, v1 bigint")
+    ended = totals.join(left, ["_key", "_slice"], "left").withColumn("left", F.when(F.col("left").isNotNull(), F.struct("left.*", "w1", "v1")))
+    earlier = F.last("left", ignorenulls=True).over(Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))
+    entered = ended.withColumn("e", earlier).where("e is not null")
+    return entered.select(
+        "_slice",
+        "_key",
+        F.col("e.number").alias("_number"),
+        (F.col("e.weight") + F.col("w0") - F.col("e.w1")).alias("_enter_weight"),
+        (F.col("e.volume") + F.col("v0") - F.col("e.v1")).alias("_enter_volume"),
+        F.col("e.since").alias("_since"),
+    )
 
 
 def threshold_groups(
@@ -273,9 +366,7 @@ def threshold_groups(
         by_key = prepared.withColumn("_run", F.col("_key")).repartition("_key").sortWithinPartitions("_key", *order)
     else:
         cut = sorted_slices(prepared, ["_key"], order, slices or slices_for(rows))
-        notes = cut.select("_slice", "_key", "_weight", "_volume", "_at").mapInArrow(_first_and_last(whole), _ddl(_NOTES))
-        # One row per slice at most: a slice can only continue the key it starts with.
-        entries = stored(notes.groupBy("_key").applyInPandas(_enter_slices(whole), _ddl(_ENTRIES)), "entries")
+        entries = stored(_entries(cut, whole), "entries")
         entered = cut.join(entries, ["_slice", "_key"], "left").withColumn("_run", F.concat_ws("/", "_slice", "_key"))
         by_key = entered.repartition("_slice").sortWithinPartitions("_slice", "_key", *order)
     numbered = by_key.mapInArrow(_number_sorted(whole, name), out)

@@ -243,6 +243,10 @@ FROM summed""",
         weight=registry.FLUSH.weight, volume=registry.FLUSH.volume, seconds=registry.FLUSH.seconds
     )
     + "\nSELECT order_id, depot, flush_id, 'READY_FOR_DISPATCH' AS status FROM walk",
+    "sliced_flush_batches": _FLUSHED.format(
+        weight=registry.LONG_FLUSH.weight, volume=registry.LONG_FLUSH.volume, seconds=registry.LONG_FLUSH.seconds
+    )
+    + "\nSELECT order_id, depot, flush_id FROM walk",
     "lorry_split": f"""{_LORRIES}
 SELECT order_id, {stamp('window_at', 'window_start')}, {_LORRY_STATUS} FROM walk WHERE place > 0""",
     "lorry_lists": f"""{_LORRIES}

@@ -269,6 +269,17 @@ def threshold_flush_batches(spark, folder):
     return groups.select("order_id", "depot", "flush_id", "status")
 
 
+#: Groups of this size span several of the slices below.
+LONG_FLUSH = Limits(weight=20_000.0, volume=600_000.0, seconds=80_000_000.0)
+
+
+@query
+def sliced_flush_batches(spark, folder):
+    """Long groups over many slices, as a depot with most of the rows would have them."""
+    groups = flushing.threshold_groups(_gold(spark, folder), ["depot"], LONG_FLUSH, slices=24)
+    return groups.select("order_id", "depot", "flush_id")
+
+
 @query
 def lorry_split(spark, folder):
     split = lorries.lorry_split(lorries.lorry_loads(_gold(spark, folder), WEEK))

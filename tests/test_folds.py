@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelflow.config import Limits
+from parcelflow.operators import flushing
 from parcelflow.operators.flushing import threshold_groups
 from parcelflow.operators.lorries import lorry_loads, lorry_split, lorry_totals
 from parcelflow.operators.packing import capacity_batches, window_members
@@ -56,6 +57,24 @@ def test_threshold_groups(spark, limits, slices):
     assert {r.order_id: r.flush_id for r in got.collect()} == flushed(rows, limits)
 
 
+@pytest.mark.parametrize("limits", [Limits(1e9, 700), Limits(900, 1e9, 40_000.0), Limits(1e9, 1e9, 30_000.0)])
+def test_groups_over_many_slices(spark, limits):
+    rows, orders = make_orders(spark, 11, 3000, hot=0.9)
+    got = threshold_groups(orders, limits=limits, slices=40)
+    assert {r.order_id: r.flush_id for r in got.collect()} == flushed(rows, limits)
+
+
+def test_a_key_without_release_has_no_places(spark, monkeypatch):
+    """Only totals of its slices travel, however many orders it has."""
+    seen = []
+    followed = flushing._followed
+    monkeypatch.setattr(flushing, "_followed", lambda places, found, longest: seen.append((places.count(), found.count())) or followed(places, found, longest))
+    _, orders = make_orders(spark, 3, 20_000, hot=1.0)
+    got = threshold_groups(orders, limits=Limits(1e9, 1e9), slices=12)
+    assert {r.flush_id for r in got.select("flush_id").distinct().collect()} == {0} and got.count() == 20_000
+    assert seen == [(1, 0)]
+
+
 def test_threshold_groups_keep_columns_and_mark_status(spark):
     _, orders = make_orders(spark, 1, 20)
     got = threshold_groups(orders)
