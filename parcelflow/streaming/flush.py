@@ -1,24 +1,32 @@
-"""Buffer orders per key until a threshold is met, then release them together."""
+"""Buffer orders per key until a threshold is met, then release them together.
+
+A buffer's orders are a list in the stream's state, to which each order is added once; its totals are one small value beside the
+list. The list is read only when it is released. Loads count in whole millionths, as in the batch form.
+"""
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator, Sequence
 from datetime import datetime, timezone
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from parcelflow.config import FLUSH_LIMITS, READY_FOR_DISPATCH, Limits
+from parcelflow.operators.flushing import Bounds, Orders, Waiting, bounds
 
 RELEASED = (
     "key string, lane int, release bigint, order_id string, customer_id string, total_weight double,"
     " total_volume double, order_timestamp timestamp, status string"
 )
-_STATE = "release bigint, weight double, volume double, since_ms bigint, orders string"
+_TOTALS = "release bigint, weight bigint, volume bigint, since_ms bigint, waiting bigint"
+_ORDER = "order_id string, customer_id string, total_weight double, total_volume double, order_timestamp timestamp"
 _COLUMNS = ["order_id", "customer_id", "total_weight", "total_volume", "order_timestamp"]
+#: How often a waiting buffer looks at the clock for its cut-off.
+_LOOK_MS = 60_000
 
 
 def past_clock(now_ms: int, clock: str) -> bool:
@@ -26,55 +34,101 @@ def past_clock(now_ms: int, clock: str) -> bool:
     return datetime.fromtimestamp(now_ms / 1000, timezone.utc).strftime("%H:%M") >= clock
 
 
-def buffering(limits: Limits, per_order: bool, cutoff: str | None, clock: str | None = None):
-    """State function: the buffer is part of the state, so a lost executor loses no order.
-
-    ``clock`` stands for the time of day, so that a past day can be run again; by default it is the present one.
-    """
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        now = state.getCurrentProcessingTimeMs()
-        release, weight, volume, since, text = state.get if state.exists else (0, 0.0, 0.0, now, "[]")
-        waiting = json.loads(text)
-        released: list[tuple] = []
-
-        def full() -> bool:
-            aged = limits.seconds is not None and now - since >= limits.seconds * 1000
-            due = cutoff is not None and (clock >= cutoff if clock else past_clock(now, cutoff))
-            return weight >= limits.weight or volume >= limits.volume or aged or due
-
-        def let_go() -> None:
-            nonlocal release, weight, volume, since, waiting
-            released.extend((release, *order) for order in waiting)
-            release, weight, volume, since, waiting = release + 1, 0.0, 0.0, now, []
-
-        arrived = [pdf for pdf in batches if len(pdf)]
-        if arrived:
-            rows = pd.concat(arrived).sort_values(["order_timestamp", "order_id"])
-            rows["order_timestamp"] = rows["order_timestamp"].astype("datetime64[us]").astype("int64")
-            for order in rows[_COLUMNS].itertuples(index=False):
-                waiting.append([None if pd.isna(value) else value for value in order])
-                weight += 0.0 if pd.isna(order.total_weight) else order.total_weight
-                volume += 0.0 if pd.isna(order.total_volume) else order.total_volume
-                if per_order and full():
-                    let_go()
-        if waiting and full():
-            let_go()
-
-        state.update((release, weight, volume, since, json.dumps(waiting)))
-        if waiting and limits.seconds is not None:
-            state.setTimeoutDuration(max(1, int(since + limits.seconds * 1000 - now)))
-        elif waiting and cutoff is not None:
-            state.setTimeoutDuration(60_000)
-        if released:
-            out = pd.DataFrame(released, columns=["release", *_COLUMNS])
-            out.insert(0, "key", key[0])
-            out.insert(1, "lane", key[1])
-            out["order_timestamp"] = pd.to_datetime(out["order_timestamp"], unit="us")
-            out["status"] = READY_FOR_DISPATCH
-            yield out
-
-    return step
+def _millionths(loads: pd.Series) -> np.ndarray:
+    return np.rint(loads.fillna(0.0).to_numpy(dtype=np.float64) * 1e6).astype(np.int64)
+
+
+class Buffer(StatefulProcessor):
+    """Buffers of one key and lane. ``clock`` stands for the time of day, so that a past day can be run again."""
+
+    def __init__(self, limits: Limits, per_order: bool, cutoff: str | None, clock: str | None):
+        self.limits, self.per_order, self.cutoff, self.clock = limits, per_order, cutoff, clock
+        self.timed = limits.seconds is not None or cutoff is not None  # a stream without timers has no clock either
+        whole = bounds(limits)
+        self.whole = Bounds(whole.weight, whole.volume, np.iinfo(np.int64).max // 4)  # age is wall-clock time here
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.totals = handle.getValueState("totals", _TOTALS)
+        self.orders = handle.getListState("orders", _ORDER)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentProcessingTimeInMs() if self.timed else 0
+        held = self.totals.get()
+        release, weight, volume, since, waiting = held if held is not None else (0, 0, 0, now, 0)
+        arrived = [part for part in rows if len(part)]
+        if not arrived:
+            return
+        came = pd.concat(arrived)[_COLUMNS].sort_values(["order_timestamp", "order_id"], ignore_index=True)
+        due = self._due(now, since)
+        if self.per_order:
+            numbers, left = self._numbers(came, Waiting(release, weight, volume, 0), due, now, since)
+            since = now if left.number > release else since
+        else:
+            total = Waiting(release, weight + int(_millionths(came["total_weight"]).sum()), volume + int(_millionths(came["total_volume"]).sum()))
+            numbers = np.full(len(came), release)
+            full = total.weight >= self.whole.weight or total.volume >= self.whole.volume or due
+            left = Waiting(release + 1) if full else total
+            since = now if full else since
+        # Those that waited go out with the first release; of the new ones all but the last, open group.
+        gone = numbers < left.number
+        if left.number > release:
+            if waiting:
+                yield self._out(key, pd.DataFrame(list(self.orders.get()), columns=_COLUMNS), np.full(waiting, release))
+                self.orders.clear()
+                waiting = 0
+            yield self._out(key, came[gone], numbers[gone])
+        staying = came[~gone]
+        if len(staying):
+            self.orders.appendList(list(staying.astype(object).where(staying.notna(), None).itertuples(index=False, name=None)))
+        self._keep(left, since, waiting + len(staying), now)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentProcessingTimeInMs()
+        release, weight, volume, since, waiting = self.totals.get()
+        if waiting and self._due(now, since):
+            yield self._out(key, pd.DataFrame(list(self.orders.get()), columns=_COLUMNS), np.full(waiting, release))
+            self.orders.clear()
+            self._keep(Waiting(release + 1), now, 0, now)
+        else:
+            self._keep(Waiting(release, weight, volume), since, waiting, now)
+
+    def _due(self, now: int, since: int) -> bool:
+        aged = self.limits.seconds is not None and now - since >= self.limits.seconds * 1000
+        return aged or (self.cutoff is not None and (self.clock >= self.cutoff if self.clock else past_clock(now, self.cutoff)))
+
+    def _numbers(self, came: pd.DataFrame, waiting: Waiting, due: bool, now: int, since: int) -> tuple[np.ndarray, Waiting]:
+        """Release of each new order, and the open group after them, if thresholds are tested after every order."""
+        weights, volumes = _millionths(came["total_weight"]), _millionths(came["total_volume"])
+        if due and self._due(now, now):  # after the cut-off every order goes out alone
+            return waiting.number + np.arange(len(came)), Waiting(waiting.number + len(came))
+        if due:  # too old: the first order goes out with those that waited
+            rest = came.iloc[1:]
+            numbers, left = self._numbers(rest, Waiting(waiting.number + 1, 0, 0, 0), False, now, now) if len(rest) else (np.zeros(0, dtype=np.int64), Waiting(waiting.number + 1))
+            return np.concatenate(([waiting.number], numbers)), left
+        return Orders(weights, volumes, np.zeros(len(came), dtype=np.int64), self.whole).numbers(waiting)
+
+    def _keep(self, left: Waiting, since: int, waiting: int, now: int) -> None:
+        self.totals.update((int(left.number), int(left.weight), int(left.volume), int(since), int(waiting)))
+        if not self.timed:
+            return
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if waiting and self.limits.seconds is not None:
+            self.handle.registerTimer(max(now + 1, int(since + self.limits.seconds * 1000)))
+        elif waiting and self.cutoff is not None:
+            self.handle.registerTimer(now + _LOOK_MS)
+
+    def _out(self, key, orders: pd.DataFrame, numbers: np.ndarray) -> pd.DataFrame:
+        out = orders.reset_index(drop=True)
+        out.insert(0, "release", numbers)
+        out.insert(0, "lane", key[1])
+        out.insert(0, "key", key[0])
+        out["status"] = READY_FOR_DISPATCH
+        return out
+
+    def close(self) -> None:
+        pass
 
 
 def threshold_stream(
@@ -96,11 +150,8 @@ def threshold_stream(
     digits = F.conv(F.substring(F.md5(F.coalesce("order_id", F.lit(""))), 1, 4), 16, 10).cast("int")
     lane = F.pmod(digits, F.lit(lanes)).cast("int")
     rows = orders.select(F.col(key).cast("string").alias("key"), lane.alias("lane"), *_COLUMNS)
-    timed = limits.seconds is not None or cutoff is not None
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if timed else GroupStateTimeout.NoTimeout
-    return rows.groupBy("key", "lane").applyInPandasWithState(
-        buffering(limits, per_order, cutoff, clock), RELEASED, _STATE, "append", timeout
-    )
+    buffer = Buffer(limits, per_order, cutoff, clock)
+    return rows.groupBy("key", "lane").transformWithStateInPandas(buffer, RELEASED, "append", "ProcessingTime" if buffer.timed else "None")
 
 
 def totals_by_release(released: DataFrame, keys: Sequence[str] = ("key", "lane", "release")) -> DataFrame:
