@@ -38,7 +38,9 @@ _PLAIN = re.compile("[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 #: What it then cuts such words into: letters, single digits, and the rest.
 _RUNS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 #: Runs of letters remembered by one task.
-_REMEMBERED = 200_000
+_REMEMBERED = 50_000
+#: Words whose ids one task remembers: some 20 MB.
+_WORDS = 200_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -93,7 +95,8 @@ def pieces(docs: DataFrame, capacity: int = 4096, end_id: int = 1, vocabulary: s
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = kernel.WordTable(word_encoder(vocabulary))
+        kernel.release_memory()
+        table = kernel.WordTable(word_encoder(vocabulary), _WORDS)
         for batch in batches:
             for i, j, data, offsets in kernel.chunks(batch.column(1)):
                 starts, ends, firsts = kernel.words(data, offsets)

@@ -103,12 +103,12 @@ def class_of(tokens: np.ndarray) -> bytes:
     return b"".join(int(x.sum(dtype=np.uint64)).to_bytes(8, "big") for x in (a, b * np.uint64(len(tokens) * 2 + 1)))
 
 
-def classed(docs: DataFrame, text: str = "text") -> DataFrame:
+def classed(docs: DataFrame, text: str = "text", width: int = 2) -> DataFrame:
     """Other columns of ``docs`` with n, class (null for an empty set), sketch and nodes (path keys at DEPTH)."""
 
     def build():
         def work(data: np.ndarray, offsets: np.ndarray) -> list:
-            grams, begins = shingle_sets(data, offsets)
+            grams, begins = shingle_sets(data, offsets, width)
             names, sketches, nodes = [], [], []
             for x, y in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True):
                 own = grams[x:y]
@@ -188,14 +188,14 @@ def _meet(nodes: DataFrame, last: bool) -> DataFrame:
     return rows.mapInArrow(lambda batches: _compare(batches, last), _MET)
 
 
-def _token_counts(sets: DataFrame) -> np.ndarray:
+def _token_counts(sets: DataFrame, width: int = 2) -> np.ndarray:
     """How often tokens of each of 2^ORDER_BITS buckets occur in (text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << ORDER_BITS, dtype=np.int64)
         for batch in batches:
             for _, _, data, offsets in kernel.chunks(batch.column(0)):
-                grams, _ = shingle_sets(data, offsets)
+                grams, _ = shingle_sets(data, offsets, width)
                 counts += np.bincount((grams >> np.uint64(64 - ORDER_BITS)).astype(np.int64), minlength=len(counts))
         places = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(places.astype(np.int32)), pa.array(counts[places])], names=["place", "n"])
@@ -206,19 +206,19 @@ def _token_counts(sets: DataFrame) -> np.ndarray:
     return out
 
 
-def prefixes(sets: DataFrame) -> DataFrame:
+def prefixes(sets: DataFrame, width: int = 2) -> DataFrame:
     """(node, n, class, sketch, rare): the rarest tokens of each set of (class, n, sketch, text).
 
     A similar pair shares 4/9 of the sum of its sizes at least. In one order of all tokens, a token that both share
     is then among the first n/5 (and one) of the larger set and the first n/9 (and one) of the smaller: ``rare``.
     """
-    shared = sets.sparkSession.sparkContext.broadcast(_token_counts(sets))  # fixed size
+    shared = sets.sparkSession.sparkContext.broadcast(_token_counts(sets, width))  # fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches:
             for i, j, data, offsets in kernel.chunks(batch.column(0)):
-                grams, begins = shingle_sets(data, offsets)
+                grams, begins = shingle_sets(data, offsets, width)
                 often = counts[(grams >> np.uint64(64 - ORDER_BITS)).astype(np.int64)]
                 owner = kernel.text_index(begins)
                 order = np.lexsort((grams, often, owner))
@@ -236,7 +236,7 @@ def prefixes(sets: DataFrame) -> DataFrame:
     return sets.select("text", "class", "n", "sketch").mapInArrow(run, "node long, n long, class binary, sketch binary, rare boolean")
 
 
-def candidates(reps: DataFrame, texts_of) -> tuple[DataFrame, DataFrame | None]:
+def candidates(reps: DataFrame, texts_of, width: int = 2) -> tuple[DataFrame, DataFrame | None]:
     """Pairs of classes (a < b) that may be similar, with the sketch's similarity; and rare tokens of classes in large nodes.
 
     ``reps``: one row per class with n, sketch and nodes. ``texts_of`` gives (class, text) for a table of classes.
@@ -246,7 +246,7 @@ def candidates(reps: DataFrame, texts_of) -> tuple[DataFrame, DataFrame | None]:
     large = first.where("b is null")
     if not large.isEmpty():
         again = stored(large.groupBy(F.col("a").alias("class")).agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")), "large")
-        tokens = stored(prefixes(stored(texts_of(again.select("class")).join(again, "class"), "texts")), "tokens")
+        tokens = stored(prefixes(stored(texts_of(again.select("class")).join(again, "class"), "texts"), width), "tokens")
         pairs = pairs.unionByName(_meet(tokens, True).select("a", "b", "similarity"))
     return stored(pairs.groupBy("a", "b").agg(F.max("similarity").alias("similarity")), "pairs"), tokens
 
@@ -314,12 +314,12 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(shared * 100 >= (F.size("x") + F.size("y") - shared) * SIMILAR).select("a", "b")
 
 
-def set_rows(texts: DataFrame) -> DataFrame:
+def set_rows(texts: DataFrame, width: int = 2) -> DataFrame:
     """(class, tokens) of (class, text)."""
 
     def build():
         def work(data: np.ndarray, offsets: np.ndarray) -> list:
-            grams, begins = shingle_sets(data, offsets)
+            grams, begins = shingle_sets(data, offsets, width)
             return [pa.ListArray.from_arrays(pa.array(begins.astype(np.int32)), pa.array(grams.view(np.int64)))]
 
         return work
@@ -327,11 +327,11 @@ def set_rows(texts: DataFrame) -> DataFrame:
     return kernel.map_texts(texts, build, "tokens array<long>")
 
 
-def join_classes(reps: DataFrame, texts_of) -> DataFrame:
+def join_classes(reps: DataFrame, texts_of, width: int = 2) -> DataFrame:
     """Root of every class that is linked with another: node, root."""
-    pairs, tokens = candidates(reps, texts_of)
+    pairs, tokens = candidates(reps, texts_of, width)
     ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "ends")
-    sets = stored(set_rows(texts_of(ends)), "sets")
+    sets = stored(set_rows(texts_of(ends), width), "sets")
     links, roots = None, None
     for final in (False, False, True):
         left = pairs
@@ -352,20 +352,20 @@ def join_classes(reps: DataFrame, texts_of) -> DataFrame:
         left = stored(apart(tokens, roots).join(pairs, ["a", "b"], "left_anti"), "apart")
         if not left.isEmpty():
             ends = stored(left.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "ends")
-            sets = stored(set_rows(texts_of(ends)), "sets")
+            sets = stored(set_rows(texts_of(ends), width), "sets")
             roots = components(links.unionByName(stored(confirmed(left, sets), "links")))
     return roots
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document of (doc_id, text): doc_id, n_shingles, component_id, kept.
+def near_duplicates(docs: DataFrame, width: int = 2) -> DataFrame:
+    """One row per document of (doc_id, text): doc_id, n_shingles, component_id, kept. Shingles have ``width`` words.
 
     Null, empty and word-less texts have an empty set and stay alone. Repeated rows are one class; of rows with
     equal ids all are kept or none. A null doc_id counts as the largest. An empty table gives no rows; other
     columns are ignored.
     """
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    rows = stored(classed(docs), "classed")
+    rows = stored(classed(docs, width=width), "classed")
     known = rows.where("class is not null")
     firsts = known.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("nodes").alias("nodes"))
     reps = stored(firsts, "classes")
@@ -374,7 +374,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         chosen = reps.select("class", "doc_id").join(classes, "class", "left_semi")
         return likely(docs, chosen, "doc_id").join(chosen, "doc_id").dropDuplicates(["class"]).select("class", "text")
 
-    roots = join_classes(reps.select("class", "n", "sketch", "nodes"), texts_of)
+    roots = join_classes(reps.select("class", "n", "sketch", "nodes"), texts_of, width)
     at = roots.select(F.col("node").alias("class"), "root")
     grouped = reps.select("class", "doc_id").join(at, "class", "left").withColumn("root", F.coalesce("root", "class"))
     least = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))

@@ -7,6 +7,8 @@ same in every process.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -150,6 +152,15 @@ def slices_of(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - before, lengths)
 
 
+def release_memory() -> None:
+    """Give back what earlier tasks of this worker process took and no longer use."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 class WordTable:
     """Token ids of words, remembered across batches up to ``limit`` distinct words.
 

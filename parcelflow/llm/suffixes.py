@@ -443,4 +443,5 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, largest: int = LARGES
 
 
 def op2_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
-    return without_repeats(spark.read.parquet(f"{folder}/documents.parquet"))
+    found = without_repeats(spark.read.parquet(f"{folder}/documents.parquet"))
+    return found.withColumn("has_repeats", F.col("n_removed") > 0)

@@ -8,16 +8,16 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
 
 
-def shingle_set(text):
+def shingle_set(text, width=2):
     words = WORD.findall((text or "").translate(LOWER))
-    if len(words) < 2:
+    if len(words) < width:
         return frozenset([tuple(words)] if words else [])
-    return frozenset(zip(words, words[1:], strict=False))
+    return frozenset(tuple(words[i : i + width]) for i in range(len(words) - width + 1))
 
 
-def near_components(texts):
+def near_components(texts, width=2):
     """Smallest id of the component of each document of {id: text}."""
-    sets = {d: shingle_set(t) for d, t in texts.items()}
+    sets = {d: shingle_set(t, width) for d, t in texts.items()}
     holders = collections.defaultdict(list)
     parent = {d: d for d in texts}
 

@@ -1,5 +1,7 @@
 """Registered queries on the given tables: against SQL where there is one, else against brute force."""
 
+import random
+
 import pytest
 
 import __spark_entry__ as contract
@@ -28,7 +30,8 @@ def test_sql(spark, name):
 def test_suffix_array(spark, texts):
     rows = sorted(contract.queries()["op2_suffix_array"](spark, SMALL).collect())
     want = brute.without_repeats([(texts[d] or "").encode() for d in sorted(texts)], 400)
-    assert [r.doc_id for r in rows] == sorted(texts) and [tuple(r)[1:] for r in rows] == want
+    assert [r.doc_id for r in rows] == sorted(texts) and [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows] == want
+    assert all(r.has_repeats == (r.n_removed > 0) for r in rows)
 
 
 def test_chosen_path(spark, texts):
@@ -72,7 +75,7 @@ def test_pipeline_stage_by_stage(spark, texts, tmp_path):
             assert docs.columns == columns
     kept = {r.doc_id: r.text for r in left["quality_rules"].collect()}
     assert all(not brute.base_rules(t)[-1] for t in kept.values())
-    wanted = {d for d, (_, root) in brute.near_components(kept).items() if d == root}
+    wanted = {d for d, (_, root) in brute.near_components(kept, corpus_pipeline.SHINGLE_WORDS).items() if d == root}
     once = {r.doc_id: r.text for r in left["near_dedup"].collect()}
     assert set(once) == wanted
     items = [r.text for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
@@ -94,6 +97,36 @@ def test_pipeline_of_odd_rows(spark, tmp_path):
         assert docs.count() == 0
 
 
+def test_each_stage_takes_odd_rows(spark, texts, tmp_path):
+    """Nulls, repeated ids with equal and other texts, a long text and the operators' own column names reach every stage."""
+    own = [t for t in texts.values() if t and not brute.base_rules(t)[-1]][:12]
+    rows = [(k, t) for k, t in enumerate(own)] + [(0, own[0]), (0, own[1] + " and more"), (None, own[2]), (None, own[3]), (50, " ".join(own) * 3), (51, None), (52, "")]
+    names = ["_row", "_id", "_spans", "_maybe", "_place", "_block", "_bits", "begin", "end", "key", "node", "class", "rest"]
+    table = spark.createDataFrame([(k, t, "en", "s", len(t or ""), *names) for k, t in rows], ["doc_id", "text", "lang", "source", "n_chars", *names])
+    for docs in (table, table.limit(0)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, SMALL)
+            assert out.columns == docs.columns, name
+            got = out.collect()
+            assert all([r[n] for n in names] == names for r in got), name
+            assert docs is not table or len(got) >= 6, name
+        packed = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).collect()
+        assert len(packed) >= (len(rows) if docs is table else 0)
+
+
+def test_texts_with_one_id_are_cut_by_their_own_spans(spark):
+    """Two texts of one id share a passage with an earlier document at different places; neither is cut at the other's."""
+    pick = random.Random(3)
+    words = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnrst"]
+    passage, one, two, three = (" ".join(pick.choice(words) for _ in range(n)) for n in (80, 40, 90, 60))
+    rows = [(1, f"{one} {passage}"), (7, f"é {two} {passage} tail"), (7, f"{three} {passage}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.text for r in corpus_pipeline.substring_dedup(spark, docs, SMALL).collect()}
+    assert f"{one} {passage}" in got
+    assert any(t.startswith(f"é {two}") and t.endswith("tail") and passage not in t for t in got)
+    assert any(t.startswith(three) and passage not in t for t in got)
+
+
 def test_root_is_the_smallest_id(spark):
     docs = spark.createDataFrame([(9, "a b c d"), (4, "a b c d"), (7, "a b c d")], "doc_id long, text string")
     assert {tuple(r)[2:] for r in chosen_path.near_duplicates(docs).collect()} == {(4, False), (4, True)}
