@@ -28,7 +28,7 @@ COVERED = 50
 #: Phrases reported for each language.
 TOP = 2000
 #: Occurrences that a task counts at once.
-COUNTED = 1 << 19
+COUNTED = 1 << 18
 #: The semi-join's filter has this many bits at most (a power of two); beyond, more phrases pass it that later counts drop.
 FILTER_BITS = 27
 
@@ -62,6 +62,7 @@ def occurrences(docs: DataFrame, salt: int = 0) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["lang", "ids", "word", "id", "n"]
+        kernel.release_memory()
         salts: dict[str, np.uint64] = {}
         for batch in batches:
             for i, j, data, offsets in kernel.chunks(batch.column(0)):
@@ -149,6 +150,7 @@ def kept(relation: DataFrame, grams: DataFrame, length: int) -> DataFrame:
     shared = relation.sparkSession.sparkContext.broadcast(_bitmap(grams, length))  # FILTER_BITS bits at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kernel.release_memory()
         bitmap, bits = shared.value
         for batch in batches:
             for row, texts in _rows(batch):
@@ -177,6 +179,7 @@ def frequent(relation: DataFrame, length: int, least: int = LEAST) -> DataFrame:
     fields = ", ".join(f"{n} long" for n in names) + ", n long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kernel.release_memory()
         for batch in batches:
             for row, _ in _rows(batch):
                 at = _windows(row, length)
