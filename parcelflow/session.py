@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,9 +48,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Paths handed out inside :func:`temporary`, one list for each that is open.
+_open_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """New, unused path in the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    for made in _open_scopes:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables made inside, at its end; what is needed later must be written elsewhere by then."""
+    _open_scopes.append(made := [])
+    try:
+        yield
+    finally:
+        _open_scopes.remove(made)
+        for name in made:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -307,3 +307,16 @@ def test_inputs_are_archived(spark, tmp_path):
 def test_start_position_is_checked(spark, tmp_path):
     with pytest.raises(ValueError):
         tables.read_stream_from(spark, str(tmp_path), "id bigint", "middle")
+
+
+def test_temporary_tables_go(spark):
+    import os
+
+    from parcelflow.session import scratch_path, stored, temporary
+
+    kept = scratch_path(spark, "kept")
+    with temporary(spark):
+        inner = scratch_path(spark, "inner")
+        spark.range(3).write.parquet(inner)
+        stored(spark.range(5), "inside").write.parquet(kept)
+    assert not os.path.exists(inner) and spark.read.parquet(kept).count() == 5
