@@ -191,6 +191,15 @@ SELECT order_id, {stamp('ts', 'parsed_at')}, {stamp('ts', 'at_by_cast')}, {stamp
 FROM plain""",
     "gold_paid_orders": f"WITH {ORDERS} SELECT {_GOLD.format(status=repr('RECEIVED'))} FROM paid",
     "nearest_depot": f"WITH {ORDERS} SELECT order_id, depot, least(d1, d2, d3) AS distance FROM placed",
+    "nearest_depot_of_table": f"""WITH {ORDERS},
+sites AS (
+  SELECT c_custkey AS place, (403121 + (c_custkey * 3571) % CASE WHEN c_custkey % 3 = 0 THEN 40 ELSE 3400 END)::DOUBLE / 10000 AS y,
+    (-38666 + (c_custkey * 8461) % CASE WHEN c_custkey % 3 = 0 THEN 40 ELSE 2993 END)::DOUBLE / 10000 AS x FROM customer),
+spots AS (SELECT DISTINCT lat, lon FROM plain),
+ranked AS (
+  SELECT lat, lon, place, abs(lat - y) + abs(lon - x) AS distance FROM spots CROSS JOIN sites
+  QUALIFY row_number() OVER (PARTITION BY lat, lon ORDER BY abs(lat - y) + abs(lon - x), place) = 1)
+SELECT order_id, 'site-' || place AS depot, distance FROM plain JOIN ranked USING (lat, lon)""",
     "status_transition": f"""WITH {_MIXED}
 SELECT order_id, CASE WHEN status = 'RECEIVED' THEN 'READY_FOR_DELIVERY' ELSE status END AS status,
   strftime(ts, '%y-%m-%d-%H') AS order_hour, 'READY' AS status_for_packing

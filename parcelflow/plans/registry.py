@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from parcelflow import config, schemas
 from parcelflow.config import Limits
 from parcelflow.functions import geo, text, times
-from parcelflow.operators import flushing, lorries, orders, packing, requests, solutions
+from parcelflow.operators import flushing, lorries, nearest, orders, packing, requests, solutions
 from parcelflow.operators.flatten import drop_fields, typed_location
 from parcelflow.plans import exports, jobs, reports, views
 from parcelflow.session import scratch_path, stored
@@ -132,6 +132,20 @@ def nearest_depot(spark, folder):
     )
 
 
+def _many_depots(spark: SparkSession, folder: str) -> DataFrame:
+    """A depot at every customer: a third in one town, the others over the country; many share a place."""
+    customer = testdata.table(spark, folder, "customer")
+    lat = F.expr("(403121 + (c_custkey * 3571) % if(c_custkey % 3 = 0, 40, 3400)) / 10000D")
+    lng = F.expr("(-38666 + (c_custkey * 8461) % if(c_custkey % 3 = 0, 40, 2993)) / 10000D")
+    return customer.select(F.concat(F.lit("site-"), F.col("c_custkey").cast("string")).alias("name"), F.col("c_custkey").alias("place"), lat.alias("lat"), lng.alias("lng"))
+
+
+@query
+def nearest_depot_of_table(spark, folder):
+    rows = testdata.flat_orders(spark, folder).select("order_id", "lat", "lon")
+    return nearest.with_nearest(rows, _many_depots(spark, folder)).select("order_id", "depot", "distance")
+
+
 def _mixed_statuses(spark: SparkSession, folder: str) -> DataFrame:
     states = (config.RECEIVED, config.IN_PROGRESS, config.READY_FOR_DISPATCH, config.DISPATCHED)
     key = F.regexp_extract("order_id", r"(\d+)$", 1).cast("bigint")
