@@ -84,6 +84,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table that :func:`stored` made, once nothing reads it any more."""
+    spark = df.sparkSession
+    for name in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: partitions and the row order inside them are kept as computed."""
     shared_folder(df.sparkSession)
