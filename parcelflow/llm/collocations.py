@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from parcelflow.llm import kernel
 from parcelflow.llm.keys import bits_of
-from parcelflow.session import stored
+from parcelflow.session import discard, stored
 
 #: Words of a phrase at most, occurrences of a candidate at least, percent of them that a longer candidate must have to replace it.
 LONGEST = 3
@@ -218,10 +218,12 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, co
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     singles = stored(words.where(F.col("n") >= least).select(F.col("id").alias("w1"), F.col("n").alias("a"), "lang", "word"), "singles")
     relation, counts = kept(table.where("ids is not null"), singles, 1), {1: singles.select("w1", "a")}
+    discard(table)  # each relation replaces the one before
     for length in range(2, longest + 1):
         counts[length] = frequent(relation, length, least)
         if length < longest:
-            relation = kept(relation, counts[length], length)
+            before, relation = relation, kept(relation, counts[length], length)
+            discard(before)
 
     found = None
     for length in range(2, longest + 1):
