@@ -320,3 +320,15 @@ def test_temporary_tables_go(spark):
         spark.range(3).write.parquet(inner)
         stored(spark.range(5), "inside").write.parquet(kept)
     assert not os.path.exists(inner) and spark.read.parquet(kept).count() == 5
+
+
+def test_a_timed_stream_writes_hours_and_stops(spark, tmp_path, gold):
+    import os
+
+    stream = streams.hourly_status_stream(tables.read_stream(spark, gold, schemas.GOLD_ORDER).where("crc32(order_id) % 40 = 0"))
+    running = streams.start(stream, f"{tmp_path}/hours", f"{tmp_path}/checkpoint", by=["order_hour"], every="1 second")
+    running.processAllAvailable()
+    streams.finish(running, 2)
+    assert not running.isActive
+    want = {r.order_hour for r in streams.hourly_status_stream(tables.read_table(spark, gold).where("crc32(order_id) % 40 = 0")).select("order_hour").distinct().collect()}
+    assert want and {name.split("=")[1] for name in os.listdir(f"{tmp_path}/hours") if "=" in name} == want
