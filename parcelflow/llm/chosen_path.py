@@ -2,9 +2,10 @@
 
 Documents with equal shingle sets are one class. Each class walks random trees on its own: at every level a path
 goes on with those tokens of the set whose hash together with the path is small, so similar sets reach common
-nodes. Small nodes are compared exhaustively (by size and by a 128-bit sketch). Classes of larger nodes are
-joined by the rare tokens of their sets, which loses no pair. What remains is confirmed on full sets, best pairs
-first, and pairs that are connected already are skipped.
+nodes. First each class tries two leaders of some of its nodes, one pair a class, which joins most of a family. Then
+small nodes are compared exhaustively (by size and by sketches). Classes of larger nodes are joined by the rare
+tokens of their sets, which loses no pair. What remains is confirmed on full sets, best pairs first. Classes that
+are connected already are never compared, so the pairs of a large family aren't emitted.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from parcelflow.llm import kernel
 from parcelflow.llm.keys import components, likely
-from parcelflow.session import stored
+from parcelflow.session import discard, stored
 
 #: Percent of the union that two sets must share.
 SIMILAR = 80
@@ -36,6 +37,11 @@ ORDER_BITS = 18
 #: Pairs are confirmed by their sets alone where the smaller has fewer tokens than this: one token then owns many bins.
 SKETCH_TOKENS = 200
 SKETCH_BITS = 128
+#: Bytes of the parity part of a sketch, which stands before the bins.
+PARITY = 16
+#: Rounds in which classes try the leaders of one in LED of their nodes, before any nodes are compared.
+ROUNDS = 2
+LED = 8
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -79,7 +85,13 @@ _ROOTS = kernel.mix(np.arange(1, TREES + 1, dtype=np.uint64) * np.uint64(0xA24BA
 
 
 def sketch(tokens: np.ndarray) -> bytes:
-    """One bit per bin from the smallest token that falls into it; an empty bin takes the next filled one's."""
+    """PARITY bytes of parities, then one bit per bin.
+
+    A parity tells whether an odd number of tokens falls to its place. A bin's bit comes from the smallest token that
+    falls into it; an empty bin takes the next filled one's.
+    """
+    places = (kernel.mix(tokens ^ np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(57)).astype(np.int64)
+    odd = np.packbits((np.bincount(places, minlength=8 * PARITY) & 1).astype(np.uint8))
     mixed = kernel.mix(tokens ^ np.uint64(0x1B873593CC9E2D51))
     bins = (mixed >> np.uint64(57)).astype(np.int64)
     least = np.full(SKETCH_BITS, np.iinfo(np.uint64).max, dtype=np.uint64)
@@ -87,7 +99,7 @@ def sketch(tokens: np.ndarray) -> bytes:
     filled = np.flatnonzero(least != np.iinfo(np.uint64).max)
     source = filled[np.searchsorted(filled, np.arange(SKETCH_BITS)) % len(filled)]
     value = kernel.mix(least[source] + (np.arange(SKETCH_BITS) - source).astype(np.uint64) * _ODD)
-    return np.packbits((value & np.uint64(1)).astype(np.uint8)).tobytes()
+    return odd.tobytes() + np.packbits((value & np.uint64(1)).astype(np.uint8)).tobytes()
 
 
 def least_by_sketch(n: np.ndarray) -> np.ndarray:
@@ -97,6 +109,23 @@ def least_by_sketch(n: np.ndarray) -> np.ndarray:
     return np.where(n < SKETCH_TOKENS, -1.0, share - 6 * spread)
 
 
+def alike(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+    """Which sets of n and m tokens with sketches x and y (rows of bytes) may be similar, and how similar they look.
+
+    Parities differ in no more places than the sets have tokens that only one of them holds, so they never lose a pair;
+    bins may at six standard deviations.
+    """
+    differ = _POPCOUNT[x ^ y].astype(np.int64)
+    odd, bins = differ[:, :PARITY].sum(axis=1), differ[:, PARITY:].sum(axis=1)
+    total, smaller, share = n + m, np.minimum(n, m), 1 - 2 * bins / SKETCH_BITS
+    may = (odd * (100 + SIMILAR) <= total * (100 - SIMILAR)) & (share >= least_by_sketch(smaller))
+    return may, np.where(smaller < SKETCH_TOKENS, (total - odd) / (total + odd), share)
+
+
+def _bytes(sketches: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches), dtype=np.uint8).reshape(len(sketches), -1)
+
+
 def class_of(tokens: np.ndarray) -> bytes:
     """128-bit name of a set."""
     a, b = kernel.mix(tokens), kernel.mix(tokens + _ODD)
@@ -122,30 +151,27 @@ def classed(docs: DataFrame, text: str = "text", width: int = 2) -> DataFrame:
     return kernel.map_texts(docs, build, "n long, class binary, sketch binary, nodes array<long>", text)
 
 
-_MET = "node long, a binary, b binary, similarity float, n long, sketch binary"
+_MET = "node long, a binary, b binary, similarity float, n long, sketch binary, group long"
 
 
 def _compare(batches: Iterator[pa.RecordBatch], last: bool) -> Iterator[pa.RecordBatch]:
-    """Rows (node, n, class, sketch) in order of node and n: pairs of small nodes, and the rows of large ones.
+    """Rows (node, n, class, sketch, group) in order of node and n: pairs of small nodes, and the rows of large ones.
 
-    Holds SMALL rows of a node at most. ``last``: rows of large nodes are paired with NEIGHBOURS before them instead.
+    Classes of one group are connected already. Holds SMALL rows of a node at most. ``last``: rows of large nodes are paired with NEIGHBOURS before them instead.
     """
-    types = [pa.int64(), pa.binary(), pa.binary(), pa.float32(), pa.int64(), pa.binary()]
-    names = ["node", "a", "b", "similarity", "n", "sketch"]
+    types = [pa.int64(), pa.binary(), pa.binary(), pa.float32(), pa.int64(), pa.binary(), pa.int64()]
+    names = ["node", "a", "b", "similarity", "n", "sketch", "group"]
     node, held, large = None, [], False
     out: list[tuple] = []
 
     def pairs(left: list[tuple], right: tuple) -> None:
-        fits = [x for x in left if x[0] * 100 >= SIMILAR * right[0] and right[0] * 100 >= SIMILAR * x[0]]
+        fits = [x for x in left if x[3] != right[3] and x[0] * 100 >= SIMILAR * right[0] and right[0] * 100 >= SIMILAR * x[0]]
         if not fits:
             return
-        bits = np.frombuffer(b"".join(x[2] for x in fits), dtype=np.uint8).reshape(len(fits), -1)
-        apart = _POPCOUNT[bits ^ np.frombuffer(right[2], dtype=np.uint8)].sum(axis=1)
-        least = least_by_sketch(np.array([min(x[0], right[0]) for x in fits]))
-        for x, d, limit in zip(fits, apart.tolist(), least.tolist(), strict=True):
-            similarity = 1 - 2 * d / SKETCH_BITS
-            if similarity >= limit and x[1] != right[1]:
-                out.append((node, min(x[1], right[1]), max(x[1], right[1]), similarity, None, None))
+        may, similarity = alike(_bytes([x[2] for x in fits]), np.frombuffer(right[2], dtype=np.uint8), np.array([x[0] for x in fits]), right[0])
+        for k in np.flatnonzero(may).tolist():
+            a, b = sorted((fits[k][1], right[1]))
+            out.append((node, a, b, float(similarity[k]), None, None, None))
 
     def close() -> None:
         if not large:
@@ -153,9 +179,9 @@ def _compare(batches: Iterator[pa.RecordBatch], last: bool) -> Iterator[pa.Recor
                 pairs(held[:k], held[k])
 
     for batch in batches:
-        columns = [batch.column(k).to_pylist() for k in range(4)]
-        for key, n, name, bits in zip(*columns, strict=True):
-            row = (n, name, bits)
+        columns = [batch.column(k).to_pylist() for k in range(5)]
+        for key, n, name, bits, group in zip(*columns, strict=True):
+            row = (n, name, bits, group)
             if key != node:
                 close()
                 node, held, large = key, [], False
@@ -166,7 +192,7 @@ def _compare(batches: Iterator[pa.RecordBatch], last: bool) -> Iterator[pa.Recor
                         pairs(held[max(0, k - NEIGHBOURS) : k], held[k])
                     held = held[-NEIGHBOURS:]
                 else:
-                    out += [(node, x[1], None, None, x[0], x[2]) for x in held]
+                    out += [(node, x[1], None, None, x[0], x[2], x[3]) for x in held]
                     held = []
             if not large:
                 held.append(row)
@@ -174,7 +200,7 @@ def _compare(batches: Iterator[pa.RecordBatch], last: bool) -> Iterator[pa.Recor
                 pairs(held, row)
                 held = [*held[-NEIGHBOURS + 1 :], row]
             else:
-                out.append((node, name, None, None, n, bits))
+                out.append((node, name, None, None, n, bits, group))
         if len(out) > 20_000:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
             out.clear()
@@ -184,7 +210,7 @@ def _compare(batches: Iterator[pa.RecordBatch], last: bool) -> Iterator[pa.Recor
 
 
 def _meet(nodes: DataFrame, last: bool) -> DataFrame:
-    rows = nodes.select("node", "n", "class", "sketch").repartition("node").sortWithinPartitions("node", "n", "class")
+    rows = nodes.select("node", "n", "class", "sketch", "group").repartition("node").sortWithinPartitions("node", "n", "class")
     return rows.mapInArrow(lambda batches: _compare(batches, last), _MET)
 
 
@@ -207,7 +233,7 @@ def _token_counts(sets: DataFrame, width: int = 2) -> np.ndarray:
 
 
 def prefixes(sets: DataFrame, width: int = 2) -> DataFrame:
-    """(node, n, class, sketch, rare): the rarest tokens of each set of (class, n, sketch, text).
+    """(node, n, class, sketch, group, rare): the rarest tokens of each set of (class, n, sketch, group, text).
 
     A similar pair shares 4/9 of the sum of its sizes at least. In one order of all tokens, a token that both share
     is then among the first n/5 (and one) of the larger set and the first n/9 (and one) of the smaller: ``rare``.
@@ -229,23 +255,23 @@ def prefixes(sets: DataFrame, width: int = 2) -> DataFrame:
                 rare = place <= n - -(-2 * n * SIMILAR // (100 + SIMILAR))
                 take = pa.array(owner[taken] + i)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(grams[taken].view(np.int64)), *(batch.column(c).take(take) for c in (2, 1, 3)), pa.array(rare[taken])],
-                    names=["node", "n", "class", "sketch", "rare"],
+                    [pa.array(grams[taken].view(np.int64)), *(batch.column(c).take(take) for c in (2, 1, 3, 4)), pa.array(rare[taken])],
+                    names=["node", "n", "class", "sketch", "group", "rare"],
                 )
 
-    return sets.select("text", "class", "n", "sketch").mapInArrow(run, "node long, n long, class binary, sketch binary, rare boolean")
+    return sets.select("text", "class", "n", "sketch", "group").mapInArrow(run, "node long, n long, class binary, sketch binary, group long, rare boolean")
 
 
 def candidates(reps: DataFrame, texts_of, width: int = 2) -> tuple[DataFrame, DataFrame | None]:
     """Pairs of classes (a < b) that may be similar, with the sketch's similarity; and rare tokens of classes in large nodes.
 
-    ``reps``: one row per class with n, sketch and nodes. ``texts_of`` gives (class, text) for a table of classes.
+    ``reps``: one row per class with n, sketch, group and nodes. ``texts_of`` gives (class, text) for a table of classes.
     """
-    first = stored(_meet(reps.select("class", "n", "sketch", F.explode("nodes").alias("node")), False), "met")
+    first = stored(_meet(reps.select("class", "n", "sketch", "group", F.explode("nodes").alias("node")), False), "met")
     pairs, tokens = first.where("b is not null").select("a", "b", "similarity"), None
     large = first.where("b is null")
     if not large.isEmpty():
-        again = stored(large.groupBy(F.col("a").alias("class")).agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")), "large")
+        again = stored(large.groupBy(F.col("a").alias("class")).agg(*(F.first(c).alias(c) for c in ("n", "sketch", "group"))), "large")
         tokens = stored(prefixes(stored(texts_of(again.select("class")).join(again, "class"), "texts"), width), "tokens")
         pairs = pairs.unionByName(_meet(tokens, True).select("a", "b", "similarity"))
     return stored(pairs.groupBy("a", "b").agg(F.max("similarity").alias("similarity")), "pairs"), tokens
@@ -270,13 +296,13 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if ready is None:
                 roots = {x[3]: k for k, x in enumerate(left)}
                 sizes = np.array([x[0] for x in left])
-                sketches = np.frombuffer(b"".join(x[2] for x in left), dtype=np.uint8).reshape(len(left), -1)
+                sketches = _bytes([x[2] for x in left])
                 ready = roots, np.array([roots[x[3]] for x in left]), sizes, sketches
             roots, own, sizes, sketches = ready
             near = np.flatnonzero((sizes <= n) & (sizes * 100 >= SIMILAR * n) & (own != roots.get(root, -1)))
             if len(near):
-                apart = _POPCOUNT[sketches[near] ^ np.frombuffer(bits, dtype=np.uint8)].sum(axis=1)
-                for k in near[1 - 2 * apart / SKETCH_BITS >= least_by_sketch(sizes[near])].tolist():
+                may, _ = alike(sketches[near], np.frombuffer(bits, dtype=np.uint8), sizes[near], n)
+                for k in near[may].tolist():
                     out.append((min(left[k][1], name), max(left[k][1], name)))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*set(out), strict=True)], names=["a", "b"])
@@ -327,26 +353,64 @@ def set_rows(texts: DataFrame, width: int = 2) -> DataFrame:
     return kernel.map_texts(texts, build, "tokens array<long>")
 
 
+def _grouped(reps: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Add group, a hash of each class's root."""
+    if roots is None:
+        return reps.withColumn("group", F.xxhash64("class"))
+    at = roots.select(F.col("node").alias("class"), "root")
+    return reps.join(at, "class", "left").withColumn("group", F.xxhash64(F.coalesce("root", "class"))).drop("root")
+
+
+def _likeness(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (a, b, n, m, x, y): those whose sketches x and y are alike, with the similarity."""
+    for batch in batches:
+        if batch.num_rows:
+            n, m = (batch.column(k).to_numpy() for k in (2, 3))
+            may, similarity = alike(*(_bytes(batch.column(k).to_pylist()) for k in (4, 5)), n, m)
+            take = pa.array(np.flatnonzero(may))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(take), batch.column(1).take(take), pa.array(similarity[may].astype(np.float32))], names=["a", "b", "similarity"]
+            )
+
+
+def led(reps: DataFrame, number: int) -> DataFrame:
+    """Pairs (a, b) of each class with the most similar leader of its nodes: one pair a class at most.
+
+    A node's leaders are its smallest and its largest class; round ``number`` takes one in LED of the nodes.
+    """
+    rows = reps.withColumn("node", F.explode("nodes")).where(F.pmod("node", F.lit(LED)) == number).select("node", "class", "n", "sketch", "group")
+    one = F.struct("class", "n", "sketch", "group")
+    leaders = rows.groupBy("node").agg(F.min(one).alias("x"), F.max(one).alias("y")).where("x.class <> y.class")
+    tried = rows.join(leaders.select("node", F.explode(F.array("x", "y")).alias("head")), "node")
+    fits = (F.col("n") * 100 >= F.col("head.n") * SIMILAR) & (F.col("head.n") * 100 >= F.col("n") * SIMILAR) & (F.col("group") != F.col("head.group"))
+    tried = tried.where(fits).select(F.col("class").alias("a"), F.col("head.class").alias("b"), "n", F.col("head.n").alias("m"), F.col("sketch").alias("x"), F.col("head.sketch").alias("y"))
+    found = tried.mapInArrow(_likeness, "a binary, b binary, similarity float")
+    return found.groupBy("a").agg(F.max(F.struct("similarity", "b")).alias("p")).select(F.least("a", "p.b").alias("a"), F.greatest("a", "p.b").alias("b")).distinct()
+
+
 def join_classes(reps: DataFrame, texts_of, width: int = 2) -> DataFrame:
     """Root of every class that is linked with another: node, root."""
-    pairs, tokens = candidates(reps, texts_of, width)
+    links, roots = None, None
+    for k in range(ROUNDS):
+        pairs = stored(led(_grouped(reps, roots), k), "led")
+        ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "ends")
+        sets = stored(set_rows(texts_of(ends), width), "sets")
+        found = stored(confirmed(pairs, sets), "links")
+        discard(sets)
+        links = found if links is None else links.unionByName(found)
+        roots = components(links)
+    pairs, tokens = candidates(_grouped(reps, roots), texts_of, width)
     ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "ends")
     sets = stored(set_rows(texts_of(ends), width), "sets")
-    links, roots = None, None
-    for final in (False, False, True):
-        left = pairs
-        if roots is not None:  # pairs that are connected already need no proof
-            at = roots.select(F.col("node").alias("class"), "root")
-            for side in ("a", "b"):
-                left = left.join(at.select(F.col("class").alias(side), F.col("root").alias(f"r{side}")), side, "left").withColumn(f"r{side}", F.coalesce(f"r{side}", side))
-            left = left.where("ra <> rb")
-        else:
-            left = left.withColumn("ra", F.col("a")).withColumn("rb", F.col("b"))
+    for final in (False, True):  # pairs that are connected already need no proof
+        at, left = roots.select(F.col("node").alias("class"), "root"), pairs
+        for side in ("a", "b"):
+            left = left.join(at.select(F.col("class").alias(side), F.col("root").alias(f"r{side}")), side, "left").withColumn(f"r{side}", F.coalesce(f"r{side}", side))
+        left = left.where("ra <> rb")
         if not final:  # the best pair of each component
             best = F.max(F.struct("similarity", "a", "b")).alias("p")
             left = left.groupBy(F.greatest("ra", "rb").alias("r")).agg(best).select("p.a", "p.b")
-        found = stored(confirmed(left.select("a", "b"), sets), "links")
-        links = found if links is None else links.unionByName(found)
+        links = links.unionByName(stored(confirmed(left.select("a", "b"), sets), "links"))
         roots = components(links)
     if tokens is not None:
         left = stored(apart(tokens, roots).join(pairs, ["a", "b"], "left_anti"), "apart")
