@@ -376,10 +376,11 @@ def _likeness(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def led(reps: DataFrame, number: int) -> DataFrame:
     """Pairs (a, b) of each class with the most similar leader of its nodes: one pair a class at most.
 
-    A node's leaders are its smallest and its largest class; round ``number`` takes one in LED of the nodes.
+    A node's leaders are its first and last class by a hash that differs from node to node; round ``number`` takes one in
+    LED of the nodes.
     """
     rows = reps.withColumn("node", F.explode("nodes")).where(F.pmod("node", F.lit(LED)) == number).select("node", "class", "n", "sketch", "group")
-    one = F.struct("class", "n", "sketch", "group")
+    one = F.struct(F.xxhash64("node", "class").alias("place"), "class", "n", "sketch", "group")
     leaders = rows.groupBy("node").agg(F.min(one).alias("x"), F.max(one).alias("y")).where("x.class <> y.class")
     tried = rows.join(leaders.select("node", F.explode(F.array("x", "y")).alias("head")), "node")
     fits = (F.col("n") * 100 >= F.col("head.n") * SIMILAR) & (F.col("head.n") * 100 >= F.col("n") * SIMILAR) & (F.col("group") != F.col("head.group"))
