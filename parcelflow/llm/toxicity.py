@@ -58,10 +58,10 @@ def held_out(key: Column) -> Column:
 
 
 def pair_counts(rows: DataFrame) -> DataFrame:
-    """Counts of word pairs over all rows of (half, toxic, text): context, word, n.
+    """Counts of word pairs over all rows of (half, toxic, text): context, word, and n0 and n1 of the two halves.
 
-    A context is a word's bucket with the half and the class above it. Pairs are counted in each chunk, then moved by
-    context, so all pairs of a context meet; they are as many as there are word buckets at most.
+    A context is a word's bucket with the class above it. Pairs are counted in each chunk, then moved by context, so
+    all pairs of a context meet, those of both halves too; they are as many as there are word buckets at most.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,19 +70,26 @@ def pair_counts(rows: DataFrame) -> DataFrame:
             for i, j, data, offsets in kernel.chunks(batch.column(0)):
                 hashes, firsts = bare_words(data, offsets)
                 before, word = pair_ids(hashes, firsts)
-                context = group[i:j][kernel.text_index(firsts)] << np.uint64(WORD_BITS) | before
-                pairs, n = np.unique(context << np.uint64(WORD_BITS) | word, return_counts=True)
-                columns = (pairs >> np.uint64(WORD_BITS)).astype(np.int32), (pairs & np.uint64(_WORD_MASK)).astype(np.int32), n.astype(np.int32)
+                own = group[i:j][kernel.text_index(firsts)]
+                context, place = (own & np.uint64(1)) << np.uint64(WORD_BITS) | before, (own >> np.uint64(1)) << np.uint64(WORD_BITS) | word
+                pairs, n = np.unique(context << np.uint64(32) | place, return_counts=True)
+                columns = (pairs >> np.uint64(32)).astype(np.int32), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int32), n.astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["context", "word", "n"])
 
     grouped = rows.select("text", (F.col("half") * 2 + F.col("toxic")).cast("int").alias("group"))
     found = grouped.mapInArrow(count, "context int, word int, n int")
-    return found.repartition("context").groupBy("context", "word").agg(F.sum("n").alias("n"))
+    half, word = F.shiftright("word", WORD_BITS), F.col("word").bitwiseAND(F.lit(_WORD_MASK))
+    sides = (F.when(half == k, F.col("n")).otherwise(0).alias(f"n{k}") for k in (0, 1))
+    moved = found.repartition("context").select("context", word.alias("word"), *sides)
+    return moved.groupBy("context", "word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
 @dataclass(frozen=True)
 class Model:
-    """Log-ready tables of both classes (row 0 ordinary, row 1 toxic) and the weights of the curve."""
+    """Log-ready tables of both classes (row 0 ordinary, row 1 toxic) and the weights of the curve.
+
+    pair_counts are already less the discount of each pair, so that a context's pairs and its kinds add up to its count.
+    """
 
     pair_counts: np.ndarray
     context_counts: np.ndarray
@@ -99,7 +106,7 @@ class Model:
         logs = []
         for c in (0, 1):
             total = np.maximum(self.context_counts[c][before], 1)
-            own = np.maximum(self.pair_counts[c][bucket] - PAIR_DISCOUNT, 0)
+            own = self.pair_counts[c][bucket]
             back = np.where(self.context_counts[c][before] > 0, PAIR_DISCOUNT * self.context_kinds[c][before] / total, 1.0)
             logs.append(np.log(own / total + np.minimum(back, 1) * self.unigram[c][word]))
         return logs[1] - logs[0], self.word_ratio[word]
@@ -126,36 +133,44 @@ def features(ratios: tuple[np.ndarray, np.ndarray], firsts: np.ndarray) -> np.nd
 
 
 def tables(counts: DataFrame) -> list[dict[str, np.ndarray]]:
-    """Count tables of each half, both classes, from all word pairs of (context, word, n).
+    """Count tables of the first half, the second half and both, of both classes, from pair_counts.
 
-    Contexts, words and pairs are summed in one aggregation, so the pairs are moved once. The result has at most
-    one row for each bucket of each table.
+    A pair that both halves have is one kind, and its sightings in both add up before the discount is taken. Contexts,
+    words and pairs are summed in one aggregation, so the pairs are moved once. The result has at most one row
+    for each bucket of each table.
     """
-    context, word, n = F.col("context").cast("long"), F.col("word").cast("long"), F.col("n")
-    group, before = F.shiftright(context, WORD_BITS), context.bitwiseAND(F.lit(_WORD_MASK))
+    context, word = F.col("context").cast("long"), F.col("word").cast("long")
+    toxic, before = F.shiftright(context, WORD_BITS), context.bitwiseAND(F.lit(_WORD_MASK))
     pair = F.pmod(F.shiftleft(before, WORD_BITS).bitwiseOR(word), F.lit(PAIR_BUCKETS))
-
-    def entry(kind: int, key: Column, value: Column) -> Column:
-        return F.struct(F.shiftleft(group + kind * 4, 20).bitwiseOR(key).alias("place"), value.cast("long").alias("n"))
-
-    entries = F.array(entry(0, before, n), entry(1, word, F.lit(1)), F.when(n > 1, entry(2, pair, n)))
-    rows = counts.select(F.explode(F.array_compact(entries)).alias("e")).select("e.place", "e.n")
-    found = rows.groupBy("place").agg(F.sum("n").alias("n"), F.count("*").cast("int").alias("kinds")).toArrow()
-    place, n, kinds = (found[c].to_numpy() for c in ("place", "n", "kinds"))
+    n = [F.col("n0"), F.col("n1")]
+    seen = [(x > 0).cast("long") for x in n]
+    beyond = [F.greatest(x - int(PAIR_DISCOUNT), F.lit(0)) for x in n]
+    shared = seen[0] * seen[1]  # where both halves have a pair, its discount is taken once
+
+    def entry(kind: int, key: Column, *values: Column) -> Column:
+        place = F.shiftleft(toxic + kind * 2, 20).bitwiseOR(key).alias("place")
+        return F.struct(place, *(v.cast("long").alias(name) for v, name in zip(values, "abcd", strict=True)))
+
+    none = F.lit(0)
+    entries = F.array(entry(0, before, *n, *seen), entry(1, word, *seen, none, none), F.when(n[0] + n[1] > 1, entry(2, pair, *beyond, shared, none)))
+    rows = counts.select(F.explode(F.array_compact(entries)).alias("e")).select("e.*")
+    found = rows.groupBy("place").agg(*(F.sum(c).alias(c) for c in "abcd"), F.count("*").alias("kinds")).toArrow()
+    place, a, b, c, d, kinds = (found[name].to_numpy() for name in ("place", "a", "b", "c", "d", "kinds"))
     group, key = place >> 20, place & ((1 << 20) - 1)
+    columns = (
+        ("context_counts", 0, 1 << WORD_BITS, (a, b, a + b)),
+        ("context_kinds", 0, 1 << WORD_BITS, (c, d, kinds)),
+        ("continuations", 1, 1 << WORD_BITS, (a, b, kinds)),
+        ("pair_counts", 2, PAIR_BUCKETS, (a, b, a + b + int(PAIR_DISCOUNT) * c)),
+    )
     out = []
-    for half in (0, 1):
+    for part in range(3):
         arrays = {}
-        for name, kind, values, size in (
-            ("context_counts", 0, n, 1 << WORD_BITS),
-            ("context_kinds", 0, kinds, 1 << WORD_BITS),
-            ("continuations", 1, n, 1 << WORD_BITS),
-            ("pair_counts", 2, n, PAIR_BUCKETS),
-        ):
+        for name, kind, size, values in columns:
             arrays[name] = np.zeros((2, size), dtype=np.float32)
-            for toxic in (0, 1):
-                own = group == kind * 4 + half * 2 + toxic
-                arrays[name][toxic, key[own]] = values[own]
+            for toxic_class in (0, 1):
+                own = group == kind * 2 + toxic_class
+                arrays[name][toxic_class, key[own]] = values[part][own]
         out.append(arrays)
     return out
 
@@ -180,8 +195,12 @@ def model_of(found: dict[str, np.ndarray]) -> Model:
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Logistic regression by Newton steps: intercept first. Without both classes the score is the class share."""
-    x = np.column_stack((np.ones(len(x)), x))
+    """Logistic regression by Newton steps: intercept first. Without both classes the score is the class share.
+
+    Features are measured by their spread, so that the ridge weighs the same on all of them.
+    """
+    spread = np.where(x.std(axis=0) > 1e-9, x.std(axis=0), 1.0) if len(x) else np.ones(x.shape[1])
+    x = np.column_stack((np.ones(len(x)), x / spread))
     w = np.zeros(x.shape[1])
     if not len(y) or y.min() == y.max():
         w[0] = np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)) if len(y) else 0.0
@@ -194,7 +213,7 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
         w += step
         if np.abs(step).max() < 1e-6:
             break
-    return w
+    return w / np.append(1.0, spread)
 
 
 def _featured(rows: DataFrame, model: Model) -> DataFrame:
@@ -221,7 +240,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     half = F.pmod(F.xxhash64("text"), F.lit(2)).cast("int")  # copies stay together
     # Labels grow with the data, so they are never sent to all tasks, not even where they are few.
     rows = likely(known, marks, "doc_id").join(marks.hint("merge"), "doc_id").select("text", "toxic", half.alias("half"))
-    first, second = tables(pair_counts(rows))
+    first, second, both = tables(pair_counts(rows))
     keep = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_000)) < -(-1_000_000 * CURVE_ROWS // max(marks.count(), CURVE_ROWS))
     few = marks.where(keep)  # about CURVE_ROWS labels
     sample = stored(likely(known, few, "doc_id").join(few.hint("merge"), "doc_id").select("text", "toxic", half.alias("half")), "curve")
@@ -230,7 +249,6 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         found.append(_featured(sample.where(F.col("half") == k), model_of(other)).toPandas())
     sample = pd.concat(found)
     weights = fit_curve(sample[[f"f{k}" for k in range(FEATURES)]].to_numpy(), sample["toxic"].to_numpy())
-    both = {name: first[name] + second[name] for name in first}
     return replace(model_of(both), weights=weights)
 
 
