@@ -15,10 +15,12 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 #: Width of the rejection bands: quartiles widened by this many interquartile ranges, and by a share of the median.
-FENCE = 4.0
-SLACK = 0.1
-#: Short texts vary more: each band is this much wider, divided by the square root of the text's tokens.
-SHORT = 4.0
+FENCE = 3.0
+SLACK = 0.03
+#: Short texts vary more: a band is this much wider, divided by the square root of the text's tokens. The entropy's floor
+#: isn't, since the share of the possible entropy rises as texts get shorter.
+SHORT_CHARS = 1.5
+SHORT_BYTES = 0.5
 LANES = 64
 
 _SYMBOLS = np.zeros(256, dtype=bool)
@@ -156,12 +158,12 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     )
     few, repeats = F.col("n_words") < MIN_WORDS, F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT
     measured = stored(measure(rows).withColumn("base_failed", few | repeats), "measured")
-    short = F.lit(SHORT) / F.sqrt(F.greatest("n_tokens", F.lit(1)))
+    root = F.sqrt(F.greatest("n_tokens", F.lit(1)))
     inside = (
-        (F.col("chars_per_token") >= F.col("least_chars") - short)
-        & (F.col("chars_per_token") <= F.col("most_chars") + short)
-        & (F.col("byte_share") <= F.col("most_bytes") + short)
-        & (F.col("token_entropy") >= F.col("least_entropy") - short)
+        (F.col("chars_per_token") >= F.col("least_chars") - F.lit(SHORT_CHARS) / root)
+        & (F.col("chars_per_token") <= F.col("most_chars") + F.lit(SHORT_CHARS) / root)
+        & (F.col("byte_share") <= F.col("most_bytes") + F.lit(SHORT_BYTES) / root)
+        & (F.col("token_entropy") >= F.col("least_entropy"))
     )
     # Most documents may share one language: each band is there LANES times, and documents take turns.
     wide = bands(measured).withColumn("_lane", F.explode(F.sequence(F.lit(0), F.lit(LANES - 1))))
