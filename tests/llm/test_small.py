@@ -1,5 +1,7 @@
 """Odd inputs of every operator, and small brute-force comparisons."""
 
+import base64
+import collections
 import random
 import zlib
 
@@ -499,3 +501,46 @@ def test_bare_words_are_shared():
     (_, _, data, offsets), *_ = kernel.chunks(pa.array(["Ab, (ab) ab! '"]))
     hashes, firsts = words.bare_words(data, offsets)
     assert hashes[0] == hashes[1] == hashes[2] != hashes[3] and firsts.tolist() == [0, 4]
+
+
+def test_toxicity_counts_are_those_of_both_halves_together(spark):
+    draw = random.Random(3)
+    rows = [(draw.randrange(2), draw.randrange(2), " ".join(draw.choices("ab bc cd de ef fg".split(), k=draw.randrange(9)))) for _ in range(60)]
+    rows += [(0, 1, "seldom pair"), (1, 1, "seldom pair"), (0, 0, None), (1, 0, "")]
+    frame = spark.createDataFrame([(t or "", c, h) for h, c, t in rows], "text string, toxic int, half int")
+    found = toxicity.tables(toxicity.pair_counts(frame))
+    for part, halves in enumerate(({0}, {1}, {0, 1})):
+        pairs = collections.Counter()
+        for half, toxic, text in rows:
+            if half in halves and text:
+                data = np.frombuffer(text.encode(), dtype=np.uint8)
+                before, word = toxicity.pair_ids(*toxicity.bare_words(data, np.array([0, len(data)])))
+                pairs.update((toxic, int(b), int(w)) for b, w in zip(before, word, strict=True))
+        want = {name: np.zeros_like(values) for name, values in found[part].items()}
+        for (toxic, b, w), n in pairs.items():
+            want["context_counts"][toxic, b] += n
+            want["context_kinds"][toxic, b] += 1
+            want["continuations"][toxic, w] += 1
+            want["pair_counts"][toxic, toxicity.pair_bucket(np.uint64([b]), np.uint64([w]))[0]] += n - 1
+        for name, values in want.items():
+            assert np.array_equal(found[part][name], values), (part, name)
+
+
+def test_bands_reject_planted_junk_and_keep_clean_texts(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    draw = random.Random(8)
+
+    def letters(alphabet):
+        return " ".join("".join(draw.choices(alphabet, k=draw.randrange(3, 10))) for _ in range(300))
+
+    clean = [r.text for r in docs.where("length(text) > 1000").orderBy("doc_id").limit(20).collect()]
+    junk = [letters("abcdefghijklmnopqrstuvwxyz") for _ in range(10)]
+    junk += [letters([chr(0x430 + k) for k in range(32)]) for _ in range(10)]
+    junk += [letters([chr(0x4E00 + k) for k in range(5000)]) for _ in range(10)]
+    junk += [" ".join(base64.b64encode(draw.randbytes(30)).decode() for _ in range(60)) for _ in range(10)]
+    junk += [t.replace("e", "é").replace("o", "ö").replace("a", "ã").encode().decode("latin-1") for t in clean]
+    planted = spark.createDataFrame([(10**9 + k, t, "en") for k, t in enumerate(junk)], docs.schema)
+    rows = [r for r in quality.judge(docs.unionByName(planted)).collect() if not r.base_failed]
+    kept = [r.kept for r in rows if r.doc_id < 10**9]
+    assert sum(kept) >= 0.95 * len(kept)
+    assert not any(r.kept for r in rows if r.doc_id >= 10**9)
