@@ -931,7 +931,7 @@ def stream_cutoff_flush(spark, folder):
             released = flush.threshold_stream(
                 stream, "depot", limits, per_order=False, cutoff=config.CUTOFF_CLOCK, clock=clocks[part]
             )
-            streams.finish(streams.start(released, f"{root}/{case}", f"{root}/checkpoint-{case}", timers=True))
+            streams.finish(streams.start(released, f"{root}/{case}", f"{root}/checkpoint-{case}", timers=True, buffers=True))
 
     _fed(spark, folder, root, run)
     parts = [

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from parcelflow import config
 from parcelflow.operators import orders, packing
+from parcelflow.session import ROCKSDB, STATE_STORE
 from parcelflow.sources.sinks import keyed_records
 
 
@@ -21,27 +22,34 @@ def start(
     fmt: str = "parquet",
     every: str | None = None,
     timers: bool = False,
+    buffers: bool = False,
     **options: str,
 ) -> StreamingQuery:
     """Append a stream to a table.
 
     Without ``every`` it takes all that is there and stops by itself; ``every="5 minutes"`` keeps it running.
     A stream with processing-time ``timers`` always has another empty batch to run, so to stop by
-    itself it must run batches for data only.
+    itself it must run batches for data only. A stream with ``buffers`` of its own, several values and lists
+    per key, needs a state store that can hold them, whatever the session's is.
     """
     writer = stream.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     writer = writer.options(**options)
     if by:
         writer = writer.partitionBy(*by)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    conf, idle = stream.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = conf.get(idle)
+    conf, own = stream.sparkSession.conf, {}  # a stream keeps the settings it was started with
+    if timers and not every:
+        own["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
+    if buffers:
+        own[STATE_STORE] = ROCKSDB
+    before = {name: conf.get(name) for name in own}
     try:
-        if timers and not every:
-            conf.set(idle, "false")  # a stream keeps the settings it was started with
+        for name, value in own.items():
+            conf.set(name, value)
         return writer.start(path) if path else writer.start()
     finally:
-        conf.set(idle, before)
+        for name, value in before.items():
+            conf.set(name, value)
 
 
 def finish(query: StreamingQuery, seconds: int | None = None) -> None:

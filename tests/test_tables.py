@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from parcelflow import config, schemas
 from parcelflow.operators import packing, requests, solutions
 from parcelflow.plans import jobs, reports, views
+from parcelflow.session import STATE_STORE
 from parcelflow.sources import files, sinks, tables, testdata
 from parcelflow.streaming import flush, jobs as streams
 from tests.conftest import SMALL
@@ -265,6 +266,25 @@ def test_cutoff_releases_at_once(spark, tmp_path, gold):
     assert flush.past_clock(43_200_000, "12:00") and not flush.past_clock(43_140_000, "12:00")
 
 
+@pytest.mark.parametrize("timers", [False, True])
+def test_buffers_bring_their_state_store(spark, tmp_path, timers):
+    """A session with Spark's own state store can run them, and keeps its settings."""
+    rows = [(f"o{n}", "c", 1.0, 1.0, datetime(2024, 10, 1, 0, n), "Getafe") for n in range(5)]
+    shape = "order_id string, customer_id string, total_weight double, total_volume double, order_timestamp timestamp, depot string"
+    spark.createDataFrame(rows, shape).coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = tables.read_stream(spark, f"{tmp_path}/in", shape)
+    released = flush.threshold_stream(stream, "depot", config.Limits(2.0, 1e9), not timers, "12:00" if timers else None, clock="13:00")
+    before, usual = spark.conf.get(STATE_STORE), "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    try:
+        spark.conf.set(STATE_STORE, usual)
+        streams.finish(streams.start(released, f"{tmp_path}/out", f"{tmp_path}/checkpoint", timers=timers, buffers=True))
+        assert spark.conf.get(STATE_STORE) == usual
+    finally:
+        spark.conf.set(STATE_STORE, before)
+    got = {r.order_id: r.release for r in tables.read_table(spark, f"{tmp_path}/out").collect()}
+    assert got == ({f"o{n}": 0 for n in range(5)} if timers else {"o0": 0, "o1": 0, "o2": 1, "o3": 1})
+
+
 def test_late_orders_are_dropped_and_counted(spark, tmp_path):
     def write(*minutes):
         rows = [(datetime(2024, 10, 1, 0, m), 1.0, 2.0) for m in minutes]
