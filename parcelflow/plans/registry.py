@@ -868,7 +868,7 @@ def stream_threshold_flush(spark, folder):
 
     def run(stream: DataFrame, part: int) -> None:
         released = flush.threshold_stream(stream, "depot", limits, lanes=LANES)
-        streams.finish(streams.start(released, f"{root}/released", f"{root}/checkpoint"))
+        streams.finish(streams.start(released, f"{root}/released", f"{root}/checkpoint", buffers=True))
 
     _fed(spark, folder, root, run)
     totals = flush.totals_by_release(tables.read_table(spark, f"{root}/released"))
