@@ -238,6 +238,13 @@ def test_job_folders(spark, tmp_path):
     assert [r.job_id for r in files.pending_jobs(asked, done).collect()] == ["j2"]
 
 
+def test_documents_take_little_disk(spark, tmp_path):
+    text = "{" + ", ".join(f'"o{n}": {{"start": "9:00", "end": "18:30"}}' for n in range(2_000)) + "}"
+    sinks.write_documents(spark.createDataFrame([("j1", text), ("j2", text)], "job_id string, document string"), f"{tmp_path}/asked")
+    assert sum(file.stat().st_size for file in (tmp_path / "asked").rglob("part-*")) < len(text) // 2
+    assert [r.value for r in spark.read.text(f"{tmp_path}/asked").select("value").collect()] == [text, text]
+
+
 def test_stream_equals_batch_over_several_micro_batches(spark, tmp_path, gold):
     """Orders come in time order, one file per micro-batch, so releases are those of the batch form."""
     from parcelflow.operators.flushing import threshold_groups
