@@ -34,25 +34,33 @@ def with_nearest(points: DataFrame, depots: DataFrame, lat: str = "lat", lon: st
     Depots without coordinates are left out. Cells are only as wide as they must be, so a point far away from all depots is the one that takes most rounds.
     """
     keyed = stored(points.withColumn("_point", F.monotonically_increasing_id()), "points")
-    sites = stored(depots.where(_usable(F.col("lat"), F.col("lng"))).select("name", "place", "lat", "lng"), "depots")
+    known = depots.where(_usable(F.col("lat"), F.col("lng"))).groupBy("lat", "lng")
+    # Of depots at one place only the first in order can be a nearest one.
+    sites = stored(known.agg(F.min(F.struct("place", "name")).alias("site")), "depots")
     low_lat, high_lat, low_lon, high_lon, many = sites.agg(F.min("lat"), F.max("lat"), F.min("lng"), F.max("lng"), F.count("*")).first()
-    nothing = keyed.where("false").select("_point", F.lit(None).cast("double").alias("distance"), F.lit(None).cast(sites.schema["name"].dataType).alias("depot"))
-    settled = nothing
+    settled = keyed.where("false").select("_point", F.lit(None).cast("double").alias("distance"), F.lit(None).cast(depots.schema["name"].dataType).alias("depot"))
     if many:
         left = stored(keyed.where(_usable(F.col(lat), F.col(lon))).select("_point", F.col(lat).cast("double").alias("y"), F.col(lon).cast("double").alias("x")), "open")
         spread = max(high_lat - low_lat, high_lon - low_lon)
         width = spread / math.sqrt(max(1, many / per_cell)) or 1e-9
+        near = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
         while not left.isEmpty():
-            near = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
-            looked = left.select("*", near.alias("n")).select("_point", "y", "x", (_cell(F.col("y"), width) + F.col("n.i")).alias("row"), (_cell(F.col("x"), width) + F.col("n.j")).alias("column"))
-            placed = sites.select("*", _cell(F.col("lat"), width).alias("row"), _cell(F.col("lng"), width).alias("column"))
+            # Depots, not points, are copied to the cells around: a point is moved once a round.
+            placed = sites.select("*", near.alias("n")).select("lat", "lng", "site", (_cell(F.col("lat"), width) + F.col("n.i")).alias("row"), (_cell(F.col("lng"), width) + F.col("n.j")).alias("column"))
             distance = F.abs(F.col("y") - F.col("lat")) + F.abs(F.col("x") - F.col("lng"))
-            best = F.min(F.struct(distance.alias("distance"), F.col("place"), F.col("name"))).alias("best")
-            found = looked.join(placed, ["row", "column"]).groupBy("_point").agg(best)
+
+            def looked(rows: DataFrame) -> DataFrame:
+                celled = rows.withColumns({"row": _cell(F.col("y"), width), "column": _cell(F.col("x"), width)})
+                return celled.join(placed, ["row", "column"], "left").withColumn("here", distance)
+
+            # First the distance, a number that needs no sorting of all depots looked at; then which of the depots at it.
+            closest = looked(left).groupBy("_point", "y", "x").agg(F.min("here").alias("distance"))
+            tied = looked(closest).where(F.col("distance").isNull() | (F.col("here") == F.col("distance")))
+            found = tied.groupBy("_point", "y", "x", "distance").agg(F.min("site").alias("site"))
             # One cell's width is proof; a little less, since borders are rounded.
-            proven = found.where(F.col("best.distance") < width * (1 - 1e-9))
-            proven = stored(proven.select("_point", "best.distance", F.col("best.name").alias("depot")), "nearest")
-            settled = settled.unionByName(proven)
-            left = stored(left.join(proven.select("_point"), "_point", "left_anti"), "open")
+            proven = F.coalesce(F.col("distance") < width * (1 - 1e-9), F.lit(False))
+            found = stored(found.select("_point", "y", "x", "distance", F.col("site.name").alias("depot"), proven.alias("proven")), "nearest")
+            settled = settled.unionByName(found.where("proven").select("_point", "distance", "depot"))
+            left = found.where("not proven").select("_point", "y", "x")
             width *= 2
     return keyed.join(settled, "_point", "left").drop("_point")

@@ -52,3 +52,21 @@ def test_a_hundred_thousand_depots(spark):
     points = [(k, k * 0.37 % 20, k * 0.73 % 20) for k in range(40)]
     got = {r.id: (r.depot, r.distance) for r in with_nearest(spark.createDataFrame(points, "id long, lat double, lon double"), depots).collect()}
     assert got == nearest(points, [tuple(r) for r in depots.collect()])
+
+
+def test_points_are_not_copied_to_the_cells_around(spark, monkeypatch):
+    """Only depots are: of a round's tables the points have one row each, however many cells are looked into."""
+    from parcelflow.operators import nearest as module
+
+    plans, keep = [], module.stored
+    monkeypatch.setattr(module, "stored", lambda df, label: plans.append((label, df._jdf.queryExecution().optimizedPlan().toString())) or keep(df, label))
+    assert len(found(spark, [(k, 1.0, 1.0) for k in range(5)], [("b", 1, 1.0, 1.0), ("a", 1, 1.0, 1.0), ("c", None, 1.0, 3.0)])) == 5
+    text = next(plan for label, plan in plans if label == "nearest")
+    lines = text.splitlines()
+    copied = [lines[k + 1] for k, line in enumerate(lines) if "Generate" in line]
+    assert copied and all("site#" in line and "_point#" not in line for line in copied)
+
+
+def test_depots_at_one_place(spark):
+    depots = [("b", 1, 1.0, 1.0), ("a", 1, 1.0, 1.0), ("z", 0, 9.0, 9.0), ("y", 0, 9.0, 9.0)]
+    assert found(spark, [(1, 1.0, 2.0), (2, 8.0, 9.0)], depots) == {1: ("a", 1.0), 2: ("y", 1.0)}
