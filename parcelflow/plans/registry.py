@@ -760,7 +760,7 @@ def _streamed(stream: DataFrame, root: str, name: str, timers: bool = False, by:
 
 
 def _streamed_silver(spark: SparkSession, folder: str, root: str) -> DataFrame:
-    testdata.order_events(spark, folder).select(F.to_json(F.struct("*")).alias("value")).write.text(f"{root}/events")
+    sinks.write_payloads(testdata.order_events(spark, folder), f"{root}/events")
     events = tables.read_json_events(spark, f"{root}/events", schemas.EVENT)
     return _streamed(streams.silver_stream(events), root, "silver")
 

@@ -245,6 +245,16 @@ def test_documents_take_little_disk(spark, tmp_path):
     assert [r.value for r in spark.read.text(f"{tmp_path}/asked").select("value").collect()] == [text, text]
 
 
+def test_payloads_take_little_disk_and_are_streamed(spark, tmp_path):
+    events = spark.range(0, 3_000, 1, 2).selectExpr("concat('evt-', id) AS event_id", "named_struct('status', 'RECEIVED', 'country', 'Spain') AS order_details")
+    sinks.write_payloads(events, f"{tmp_path}/events")
+    plain = sum(len(json.dumps(r.asDict(recursive=True))) for r in events.collect())
+    assert sum(file.stat().st_size for file in (tmp_path / "events").glob("part-*")) < plain // 2
+    streamed = tables.read_json_events(spark, f"{tmp_path}/events", events.schema)
+    streams.finish(streams.start(streamed, f"{tmp_path}/out", f"{tmp_path}/checkpoint"))
+    assert sorted(tables.read_table(spark, f"{tmp_path}/out").collect()) == sorted(events.collect())
+
+
 def test_stream_equals_batch_over_several_micro_batches(spark, tmp_path, gold):
     """Orders come in time order, one file per micro-batch, so releases are those of the batch form."""
     from parcelflow.operators.flushing import threshold_groups
