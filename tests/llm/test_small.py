@@ -2,7 +2,9 @@
 
 import base64
 import collections
+import pathlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -10,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelflow.llm import bestfit, chaining, chosen_path, decontaminate, edits, kernel, keys, licenses, quality, shards, suffixes, toxicity, warc, words
+from parcelflow.session import stored
 from tests.llm import brute
 
 random.seed(7)
@@ -192,6 +195,30 @@ def test_links_of_a_seed_that_is_everywhere_are_linear(spark):
     assert len(rows) <= 2 * 501 and all(r.other_id < r.doc_id for r in rows)
 
 
+@pytest.mark.parametrize("times", [1, 9])
+def test_a_pair_is_found_whose_seeds_all_occur_before_and_between(spark, times):
+    passage = prose(80, 21).split()
+    docs = [(500, prose(30) + " " + " ".join(passage) + " " + prose(30)), (9000, prose(25) + " " + " ".join(passage))]
+    for begin in (0, 600):  # parts of the passage, first below 500, then between 500 and 9000
+        for k, at in enumerate(range(0, 64, 4)):
+            docs += [(begin + 20 * k + i, prose(20) + " " + " ".join(passage[at : at + 20]) + " " + prose(20)) for i in range(times)]
+    rows = chaining.passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    (r,) = {(r.start_word, r.n_words, r.identity) for r in rows if (r.doc_id, r.other_id) == (9000, 500)}
+    assert 22 <= r[0] <= 25 and 80 <= r[1] <= 84 and r[2] > 0.95
+    frequent = chaining.linked(chaining.seeds(spark.createDataFrame(docs, "doc_id long, text string"))).where("other_id is null").count()
+    assert (frequent > 0) == (times > 1)
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    local = pathlib.Path(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()[0].toString())
+    before = {*local.rglob("shuffle_*.data")}
+    assert stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts").count() == 7
+    until = time.time() + 10
+    while (left := {f for f in local.rglob("shuffle_*.data") if f.stat().st_size > 200} - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+
+
 # 4 Licences
 
 
