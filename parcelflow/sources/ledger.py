@@ -8,6 +8,9 @@ first adds to the ledger what the broken load had brought into the table.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +20,8 @@ from parcelflow.sources.tables import read_table, table_exists
 
 #: Partitions named one by one in a filter; more of them are joined, with the same rows.
 NAMED_PARTITIONS = 10_000
+#: Folders deleted at once.
+DELETES = 16
 
 
 def ledger_path(path: str) -> str:
@@ -112,7 +117,8 @@ def load(rows: DataFrame, path: str, by: str, key: str = "id", version: str = "f
 
     files.mkdirs(marker)
     if changed.isEmpty():
-        sinks.append(brought.select(rows.columns), path, [by])
+        with sinks.spread(spark, chosen.select("_place").distinct().count()):
+            sinks.append(brought.select(rows.columns), path, [by])
     else:
         touched = stored(changed.select(F.explode(F.array("_old", "_place")).alias("_place")).distinct(), "touched")
         table = read_table(spark, path, schema=rows.schema).select("*", F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("_folder"))
@@ -122,13 +128,22 @@ def load(rows: DataFrame, path: str, by: str, key: str = "id", version: str = "f
         staged = stored(kept.select(rows.columns).unionByName(_in_places(brought, by, touched).select(rows.columns)), "partitions")
         left = staged.select(F.col(by).alias("_left")).distinct()
         emptied = before.join(left, F.col(by).eqNullSafe(F.col("_left")), "left_anti").select("_folder").distinct()
-        for row in emptied.toLocalIterator():  # partitions that lose their last row can't be overwritten
-            store, folder = _path(spark, row["_folder"])
-            store.delete(folder, True)
-        sinks.overwrite_partitions(staged, path, [by])
-        elsewhere = brought.join(touched, F.col(by).eqNullSafe(F.col("_place")), "left_anti")
+
+        def delete(folder: str) -> None:
+            store, at = _path(spark, folder)
+            store.delete(at, True)
+
+        # Partitions that lose their last row can't be overwritten.
+        names = (row["_folder"] for row in emptied.toLocalIterator())
+        with ThreadPoolExecutor(DELETES) as pool:
+            while some := list(islice(names, NAMED_PARTITIONS)):
+                list(pool.map(delete, some))
+        with sinks.spread(spark, left.count()):
+            sinks.overwrite_partitions(staged, path, [by])
+        elsewhere = stored(brought.join(touched, F.col(by).eqNullSafe(F.col("_place")), "left_anti").select(rows.columns), "elsewhere")
         if not elsewhere.isEmpty():
-            sinks.append(elsewhere.select(rows.columns), path, [by])
+            with sinks.spread(spark, elsewhere.select(by).distinct().count()):
+                sinks.append(elsewhere, path, [by])
     applied = chosen.select("_row", F.lit(True).alias("_applied"))
     listed = facts.join(applied, "_row", "left").withColumn("_applied", F.coalesce("_applied", F.lit(False))).drop("_row")
     _add(listed.groupBy("_key", "_content", "_version", "_place").agg(F.max("_applied").alias("_applied")), path, _next_load(known))

@@ -209,6 +209,14 @@ def test_a_pair_is_found_whose_seeds_all_occur_before_and_between(spark, times):
     assert (frequent > 0) == (times > 1)
 
 
+def test_passages_far_apart_in_the_same_two_documents(spark):
+    one, two = prose(60, 31), prose(60, 32)
+    docs = [(k, f"{one} {prose(200)} {two}") for k in (1, 2)]
+    rows = chaining.passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    covered = {w for r in rows for w in range(r.start_word, r.start_word + r.n_words)}
+    assert covered >= {*range(60), *range(260, 320)} and len(covered) < 180
+
+
 def test_stored_tables_leave_no_shuffle_files(spark):
     local = pathlib.Path(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()[0].toString())
     before = {*local.rglob("shuffle_*.data")}
