@@ -2,6 +2,8 @@
 
 import os
 
+from pyspark.sql import functions as F
+
 from parcelflow.sources import ledger, sinks, tables
 
 SCHEMA = "id string, finished_at string, note string, visits map<string,int>, half string"
@@ -81,3 +83,14 @@ def test_many_touched_partitions_give_the_same(spark, tmp_path, monkeypatch):
     loaded(spark, path, *[(str(k), "t1", "x", f"h{k % 3}") for k in range(9)])
     got = loaded(spark, path, *[(str(k), "t2", "y", f"h{(k + 1) % 3}") for k in range(4)])
     assert got == sorted([(str(k), "t2", "y", f"h{(k + 1) % 3}") for k in range(4)] + [(str(k), "t1", "x", f"h{k % 3}") for k in range(4, 9)], key=repr)
+
+
+def test_many_folders_are_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(150).select(F.concat(F.lit("run-"), "id").alias("id"), F.lit("2024").alias("finished_at"), F.concat(F.lit("d"), "id").alias("place"))
+    later = rows.withColumn("finished_at", F.lit("2025")).withColumn("place", F.concat(F.lit("e"), "id"))
+    for arrived, first in ((rows, "d"), (later, "e")):  # the second load empties all folders and fills new ones
+        ledger.load(arrived, f"{tmp_path}/lines", "place")
+        files = list((tmp_path / "lines").glob("place=*/part-*"))
+        assert len(files) == 150 and all(f.parent.name.startswith(f"place={first}") for f in files)
+        assert len({f.name.split("-")[1] for f in files}) > 1
+    assert spark.read.parquet(f"{tmp_path}/lines").where("finished_at = '2025'").count() == 150
