@@ -38,9 +38,9 @@ _PLAIN = re.compile("[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 #: What it then cuts such words into: letters, single digits, and the rest.
 _RUNS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 #: Runs of letters remembered by one task.
-_REMEMBERED = 50_000
-#: Words whose ids one task remembers: some 20 MB.
-_WORDS = 200_000
+_REMEMBERED = 200_000
+#: Words whose ids one task remembers: some 50 MB. With fewer, tasks tokenise the same words again and again.
+_WORDS = 500_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -60,6 +60,7 @@ def word_encoder(path: str):
 
     tokenizer = Tokenizer.from_file(path)
     merges, letters, known = tokenizer.model, _byte_letters(), {}
+    numbers = list(range(tokenizer.get_vocab_size()))  # remembered ids share these objects
 
     def run_ids(run: str) -> list[int]:
         ids = known.get(run)
@@ -67,7 +68,7 @@ def word_encoder(path: str):
             if len(known) >= _REMEMBERED:
                 known.clear()
             shown = run if run.isascii() else "".join(letters[b] for b in run.encode())
-            ids = known[run] = [t.id for t in merges.tokenize(shown)]
+            ids = known[run] = tuple(numbers[t.id] for t in merges.tokenize(shown))
         return ids
 
     def encode(found: list[bytes]) -> list[list[int]]:
