@@ -209,6 +209,42 @@ def test_a_pair_is_found_whose_seeds_all_occur_before_and_between(spark, times):
     assert (frequent > 0) == (times > 1)
 
 
+def _rows_of(spark, monkeypatch, docs):
+    """Passages of ``docs``, and the number of rows of each table that was stored on the way."""
+    sizes = {}
+
+    def counted(df, label):
+        out = stored(df, label)
+        sizes.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(chaining, "stored", counted)
+    return chaining.passages(spark.createDataFrame(docs, "doc_id long, text string")).collect(), sizes
+
+
+def test_a_common_phrase_makes_no_pairs_of_all_its_documents(spark, monkeypatch):
+    rng = random.Random(8)
+    phrase = " ".join(f"p{k}" for k in range(6))  # two seeds at most, where a chain needs three
+    docs = [(k, " ".join([*(f"w{rng.randrange(10**9)}" for _ in range(30)), phrase, *(f"w{rng.randrange(10**9)}" for _ in range(30))])) for k in range(400)]
+    rows, sizes = _rows_of(spark, monkeypatch, docs)
+    assert rows == [] and sizes["bare"][0] > 100 and sizes["pairs"] == [0]
+
+
+def test_runs_of_one_word_are_linked_in_step(spark, monkeypatch):
+    docs = [(k, " ".join([f"a{k}b{j}" for j in range(30)] + ["la"] * (200 + 10 * k) + [f"c{k}d{j}" for j in range(30)])) for k in range(20)]
+    docs.append((99, " ".join(["only"] * 500)))
+    rows, sizes = _rows_of(spark, monkeypatch, docs)
+    covered = collections.defaultdict(set)
+    for r in rows:
+        covered[r.doc_id] |= set(range(r.start_word, r.start_word + r.n_words))
+    for k in range(1, 20):  # all of each run, for one before it has the word as well
+        assert len(set(range(30, 230 + 10 * k)) - covered[k]) <= 2, k
+    assert 99 not in covered and 0 not in covered
+    runs = sum(200 + 10 * k for k in range(20))
+    assert sizes["links"][0] <= 6 * runs + 1000  # not runs times runs
+    assert sum(sizes.get("more", [0])) <= 40 * runs
+
+
 def test_passages_far_apart_in_the_same_two_documents(spark):
     one, two = prose(60, 31), prose(60, 32)
     docs = [(k, f"{one} {prose(200)} {two}") for k in (1, 2)]
