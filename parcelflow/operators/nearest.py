@@ -51,7 +51,8 @@ def with_nearest(points: DataFrame, depots: DataFrame, lat: str = "lat", lon: st
 
             def looked(rows: DataFrame) -> DataFrame:
                 celled = rows.withColumns({"row": _cell(F.col("y"), width), "column": _cell(F.col("x"), width)})
-                return celled.join(placed, ["row", "column"], "left").withColumn("here", distance)
+                # Spark takes the nine copies for one, and their compressed file for their size: never broadcast by that.
+                return celled.join(placed.hint("merge"), ["row", "column"], "left").withColumn("here", distance)
 
             # First the distance, a number that needs no sorting of all depots looked at; then which of the depots at it.
             closest = looked(left).groupBy("_point", "y", "x").agg(F.min("here").alias("distance"))
@@ -63,4 +64,4 @@ def with_nearest(points: DataFrame, depots: DataFrame, lat: str = "lat", lon: st
             settled = settled.unionByName(found.where("proven").select("_point", "distance", "depot"))
             left = found.where("not proven").select("_point", "y", "x")
             width *= 2
-    return keyed.join(settled, "_point", "left").drop("_point")
+    return keyed.join(settled.hint("merge"), "_point", "left").drop("_point")  # a row a point

@@ -72,6 +72,18 @@ def test_points_are_not_copied_to_the_cells_around(spark, monkeypatch):
         assert "lat" in below and "_point" not in below, text
 
 
+def test_no_table_of_depots_or_points_is_broadcast(spark, monkeypatch):
+    """Spark would take these few for small; it takes a million depots' copies for small as well."""
+    from parcelflow.operators import nearest as module
+
+    plans, keep = [], module.stored
+    monkeypatch.setattr(module, "stored", lambda df, label: plans.append((label, df._jdf.queryExecution().executedPlan().toString())) or keep(df, label))
+    rows = with_nearest(spark.createDataFrame([(k, 1.0, 1.0) for k in range(5)], "id long, lat double, lon double"), spark.createDataFrame([("a", 1, 1.0, 1.0)], DEPOT))
+    plans.append(("result", rows._jdf.queryExecution().executedPlan().toString()))
+    joined = [plan for _, plan in plans if "Join" in plan]
+    assert len(joined) == 2 and not any("Broadcast" in plan for plan in joined), joined
+
+
 def test_depots_at_one_place(spark):
     depots = [("b", 1, 1.0, 1.0), ("a", 1, 1.0, 1.0), ("z", 0, 9.0, 9.0), ("y", 0, 9.0, 9.0)]
     assert found(spark, [(1, 1.0, 2.0), (2, 8.0, 9.0)], depots) == {1: ("a", 1.0), 2: ("y", 1.0)}
