@@ -1,7 +1,7 @@
 """Buffer orders per key until a threshold is met, then release them together.
 
-A buffer's orders are a list in the stream's state, to which each order is added once; its totals are one small value beside the
-list. The list is read only when it is released. Loads count in whole millionths, as in the batch form.
+A buffer's orders are in the stream's state in parts of bounded size, written once each; its totals are one small value beside
+them. Parts are read only when they are released, one at a time. Loads count in whole millionths, as in the batch form.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from datetime import datetime, timezone
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -22,9 +23,11 @@ RELEASED = (
     "key string, lane int, release bigint, order_id string, customer_id string, total_weight double,"
     " total_volume double, order_timestamp timestamp, status string"
 )
-_TOTALS = "release bigint, weight bigint, volume bigint, since_ms bigint, waiting bigint"
-_ORDER = "order_id string, customer_id string, total_weight double, total_volume double, order_timestamp timestamp"
-_COLUMNS = ["order_id", "customer_id", "total_weight", "total_volume", "order_timestamp"]
+_TOTALS = "release bigint, weight bigint, volume bigint, since_ms bigint, waiting bigint, parts bigint"
+_ORDERS = pa.schema({"order_id": pa.string(), "customer_id": pa.string(), "total_weight": pa.float64(), "total_volume": pa.float64(), "order_timestamp": pa.timestamp("us")})
+_COLUMNS = _ORDERS.names
+#: Orders of a part of a buffer, at most.
+PART_ROWS = 10_000
 #: How often a waiting buffer looks at the clock for its cut-off.
 _LOOK_MS = 60_000
 
@@ -38,8 +41,22 @@ def _millionths(loads: pd.Series) -> np.ndarray:
     return np.rint(loads.fillna(0.0).to_numpy(dtype=np.float64) * 1e6).astype(np.int64)
 
 
+def _packed(orders: pd.DataFrame) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, _ORDERS, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(pa.RecordBatch.from_pandas(orders, _ORDERS, preserve_index=False))
+    return out.getvalue().to_pybytes()
+
+
+def _unpacked(part: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(part).read_pandas()
+
+
 class Buffer(StatefulProcessor):
-    """Buffers of one key and lane. ``clock`` stands for the time of day, so that a past day can be run again."""
+    """Buffers of one key and lane. ``clock`` stands for the time of day, so that a past day can be run again.
+
+    With ``per_order=False`` no more than a part of a buffer is held, however many orders come or wait.
+    """
 
     def __init__(self, limits: Limits, per_order: bool, cutoff: str | None, clock: str | None):
         self.limits, self.per_order, self.cutoff, self.clock = limits, per_order, cutoff, clock
@@ -50,48 +67,68 @@ class Buffer(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.totals = handle.getValueState("totals", _TOTALS)
-        self.orders = handle.getListState("orders", _ORDER)
+        # Not a list: RocksDB keeps and reads the list of a key as one value.
+        self.parts = handle.getMapState("parts", "part bigint", "orders binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentProcessingTimeInMs() if self.timed else 0
         held = self.totals.get()
-        release, weight, volume, since, waiting = held if held is not None else (0, 0, 0, now, 0)
-        arrived = [part for part in rows if len(part)]
+        release, weight, volume, since, waiting, parts = held if held is not None else (0, 0, 0, now, 0, 0)
+        arrived = filter(len, rows)
+        due = self._due(now, since)
+        if not self.per_order:
+            total, came = Waiting(release, weight, volume), 0
+            for part in arrived:
+                total = Waiting(release, total.weight + int(_millionths(part["total_weight"]).sum()), total.volume + int(_millionths(part["total_volume"]).sum()))
+                came += len(part)
+                if due:
+                    yield self._out(key, part[_COLUMNS], release)
+                else:
+                    parts = self._put(part[_COLUMNS], parts)
+            if not came:
+                return
+            if due or total.weight >= self.whole.weight or total.volume >= self.whole.volume:
+                yield from self._taken(key, release, parts)
+                self._keep(Waiting(release + 1), now, 0, 0, now)
+            else:
+                self._keep(total, since, waiting + came, parts, now)
+            return
+        arrived = list(arrived)
         if not arrived:
             return
         came = pd.concat(arrived)[_COLUMNS].sort_values(["order_timestamp", "order_id"], ignore_index=True)
-        due = self._due(now, since)
-        if self.per_order:
-            numbers, left = self._numbers(came, Waiting(release, weight, volume, 0), due, now, since)
-            since = now if left.number > release else since
-        else:
-            total = Waiting(release, weight + int(_millionths(came["total_weight"]).sum()), volume + int(_millionths(came["total_volume"]).sum()))
-            numbers = np.full(len(came), release)
-            full = total.weight >= self.whole.weight or total.volume >= self.whole.volume or due
-            left = Waiting(release + 1) if full else total
-            since = now if full else since
+        numbers, left = self._numbers(came, Waiting(release, weight, volume, 0), due, now, since)
+        since = now if left.number > release else since
         # Those that waited go out with the first release; of the new ones all but the last, open group.
         gone = numbers < left.number
         if left.number > release:
-            if waiting:
-                yield self._out(key, pd.DataFrame(list(self.orders.get()), columns=_COLUMNS), np.full(waiting, release))
-                self.orders.clear()
-                waiting = 0
+            yield from self._taken(key, release, parts)
+            waiting = parts = 0
             yield self._out(key, came[gone], numbers[gone])
         staying = came[~gone]
-        if len(staying):
-            self.orders.appendList(list(staying.astype(object).where(staying.notna(), None).itertuples(index=False, name=None)))
-        self._keep(left, since, waiting + len(staying), now)
+        self._keep(left, since, waiting + len(staying), self._put(staying, parts), now)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentProcessingTimeInMs()
-        release, weight, volume, since, waiting = self.totals.get()
+        release, weight, volume, since, waiting, parts = self.totals.get()
         if waiting and self._due(now, since):
-            yield self._out(key, pd.DataFrame(list(self.orders.get()), columns=_COLUMNS), np.full(waiting, release))
-            self.orders.clear()
-            self._keep(Waiting(release + 1), now, 0, now)
+            yield from self._taken(key, release, parts)
+            self._keep(Waiting(release + 1), now, 0, 0, now)
         else:
-            self._keep(Waiting(release, weight, volume), since, waiting, now)
+            self._keep(Waiting(release, weight, volume), since, waiting, parts, now)
+
+    def _put(self, orders: pd.DataFrame, parts: int) -> int:
+        """Add orders to the buffer's parts; how many parts there are then."""
+        for k in range(0, len(orders), PART_ROWS):
+            self.parts.updateValue((parts,), (_packed(orders.iloc[k : k + PART_ROWS]),))
+            parts += 1
+        return parts
+
+    def _taken(self, key, release: int, parts: int) -> Iterator[pd.DataFrame]:
+        """All that waits, part by part; the buffer is empty then."""
+        for k in range(parts):
+            yield self._out(key, _unpacked(self.parts.getValue((k,))[0]), release)
+            self.parts.removeKey((k,))
 
     def _due(self, now: int, since: int) -> bool:
         aged = self.limits.seconds is not None and now - since >= self.limits.seconds * 1000
@@ -108,8 +145,8 @@ class Buffer(StatefulProcessor):
             return np.concatenate(([waiting.number], numbers)), left
         return Orders(weights, volumes, np.zeros(len(came), dtype=np.int64), self.whole).numbers(waiting)
 
-    def _keep(self, left: Waiting, since: int, waiting: int, now: int) -> None:
-        self.totals.update((int(left.number), int(left.weight), int(left.volume), int(since), int(waiting)))
+    def _keep(self, left: Waiting, since: int, waiting: int, parts: int, now: int) -> None:
+        self.totals.update((int(left.number), int(left.weight), int(left.volume), int(since), int(waiting), int(parts)))
         if not self.timed:
             return
         for timer in list(self.handle.listTimers()):
@@ -119,7 +156,7 @@ class Buffer(StatefulProcessor):
         elif waiting and self.cutoff is not None:
             self.handle.registerTimer(now + _LOOK_MS)
 
-    def _out(self, key, orders: pd.DataFrame, numbers: np.ndarray) -> pd.DataFrame:
+    def _out(self, key, orders: pd.DataFrame, numbers: np.ndarray | int) -> pd.DataFrame:
         out = orders.reset_index(drop=True)
         out.insert(0, "release", numbers)
         out.insert(0, "lane", key[1])

@@ -3,6 +3,7 @@
 import json
 from datetime import datetime
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -283,6 +284,62 @@ def test_cutoff_releases_at_once(spark, tmp_path, gold):
     assert flush.past_clock(43_200_000, "12:00") and not flush.past_clock(43_140_000, "12:00")
 
 
+class _Kept:
+    """A state value or map in memory, which counts the rows that it is handed at once."""
+
+    def __init__(self):
+        self.value, self.parts = None, {}
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def updateValue(self, key, value):
+        self.parts[key] = value
+
+    def getValue(self, key):
+        return self.parts.get(key)
+
+    def removeKey(self, key):
+        del self.parts[key]
+
+
+def _buffer(limits):
+    buffer = flush.Buffer(limits, False, "12:00", "09:00")
+    buffer.timed, buffer.totals, buffer.parts = False, _Kept(), _Kept()
+    return buffer
+
+
+def _arriving(first, rows, parts, seen):
+    for k in range(parts):
+        seen.append(k)
+        number = range(first + k * rows, first + (k + 1) * rows)
+        yield pd.DataFrame({"order_id": [f"o{n}" for n in number], "customer_id": None, "total_weight": [1.0, float("nan")] * (rows // 2), "total_volume": 0.0, "order_timestamp": pd.Timestamp("2024-10-01")})
+
+
+@pytest.mark.parametrize("clock", ["09:00", "12:00"])
+def test_a_buffer_is_held_and_released_in_parts(clock):
+    """Orders are never brought together: each part that comes is put away, or goes out, before the next is asked for."""
+    buffer, seen = _buffer(config.Limits(1e15, 1e15)), []
+    assert list(buffer.handleInputRows(("Getafe", 0), _arriving(0, 100, 5, seen), None)) == []
+    assert len(buffer.parts.parts) == 5 and buffer.totals.value[1] == 250 * 1_000_000 and buffer.totals.value[4:] == (500, 5)
+    buffer.clock, buffer.limits = clock, config.Limits(501.0, 1e15)
+    buffer.whole = flush.bounds(buffer.limits)
+    seen.clear()
+    out = buffer.handleInputRows(("Getafe", 0), _arriving(500, 100, 6, seen), None)
+    first = next(out, None)
+    if clock == "09:00":  # full, which only the last part tells: 250 + 300 of 501
+        assert len(seen) == 6 and len(buffer.parts.parts) == 11
+    else:
+        assert len(seen) == 1 and len(buffer.parts.parts) == 5
+    gone = [first, *out]
+    assert len(gone) == 11 and max(map(len, gone)) == 100 and not buffer.parts.parts
+    assert sorted(pd.concat(gone)["order_id"]) == sorted(f"o{n}" for n in range(1100)) and {n for part in gone for n in part["release"]} == {0}
+    assert pd.concat(gone)["total_weight"].sum() == 550 and buffer.totals.value[:3] == (1, 0, 0) and buffer.totals.value[4:] == (0, 0)
+
+
 @pytest.mark.parametrize("timers", [False, True])
 def test_buffers_bring_their_state_store(spark, tmp_path, timers):
     """A session with Spark's own state store can run them, and keeps its settings."""
