@@ -230,6 +230,53 @@ def test_a_common_phrase_makes_no_pairs_of_all_its_documents(spark, monkeypatch)
     assert rows == [] and sizes["bare"][0] > 100 and sizes["pairs"] == [0]
 
 
+def _phrases(rng, n):
+    phrase = " ".join(f"p{k}" for k in range(25))  # several seeds, but only half a passage
+    return [(k, " ".join([*(f"w{rng.randrange(10**9)}" for _ in range(70)), phrase, *(f"w{rng.randrange(10**9)}" for _ in range(70))])) for k in range(n)]
+
+
+def test_chains_too_short_for_a_passage_move_no_texts(spark, monkeypatch):
+    rows, sizes = _rows_of(spark, monkeypatch, _phrases(random.Random(9), 60))
+    assert rows == [] and sizes["chains"][1] > 1500 and sum(sizes["long"]) < 20
+
+
+def test_pairs_are_followed_in_slices(spark, monkeypatch):
+    """With the same rows, and no table of all pairs."""
+    rng = random.Random(10)
+    docs = _phrases(rng, 60)
+    rest = docs[40][1].split()[60:120]  # the phrase with its surroundings, only between two in the middle
+    docs[50] = (50, " ".join([*(f"w{rng.randrange(10**9)}" for _ in range(9)), *rest, "end"]))
+    whole, sizes = _rows_of(spark, monkeypatch, docs)
+    pairs = sizes["pairs"]
+    monkeypatch.setattr(chaining, "MEETINGS", 4000)
+    parts, sizes = _rows_of(spark, monkeypatch, docs)
+    assert (50, 40) in {(r.doc_id, r.other_id) for r in whole} and sorted(map(tuple, parts)) == sorted(map(tuple, whole))
+    assert len(pairs) == 1 and len(sizes["pairs"]) > 1 and sum(sizes["pairs"]) == pairs[0] and max(sizes["pairs"]) < 0.8 * pairs[0]
+
+
+def test_reaches_are_those_of_extensions():
+    rng = np.random.default_rng(3)
+    a, b = (rng.integers(1, 4, (500, 64)).astype(np.uint8) for _ in range(2))
+    b = np.where(rng.random(a.shape) < rng.random((500, 1)), a, b)
+    a[:, 50:] = 0
+    assert chaining._reaches(a, b).tolist() == [chaining._extension(x[:50].tolist(), y.tolist())[0] for x, y in zip(a, b, strict=True)]
+
+
+def test_straight_chains_are_those_of_all_anchors(spark):
+    rng, links = random.Random(4), []
+    for pair in range(300):
+        x, skew = 0, rng.randrange(50)
+        for _ in range(rng.randrange(1, 9)):
+            x += rng.choice([1, 4, 48, 49, 50, 51, 99])
+            links.append((pair + 1, 0, x, x + skew + (rng.random() < 0.02)))
+    got = {(r.doc_id, tuple(r.xs), tuple(r.ys)) for r in chaining.chains(spark.createDataFrame(links, "doc_id long, other_id long, x int, y int")).collect()}
+    want = set()
+    for pair in range(300):
+        xs, ys = [x for d, _, x, _ in links if d == pair + 1], [y for d, _, _, y in links if d == pair + 1]
+        want |= {(pair + 1, tuple(xs[k] for k in own), tuple(ys[k] for k in own)) for own in chaining.chain(xs, ys)}
+    assert got == want and len(got) > 100
+
+
 def test_runs_of_one_word_are_linked_in_step(spark, monkeypatch):
     docs = [(k, " ".join([f"a{k}b{j}" for j in range(30)] + ["la"] * (200 + 10 * k) + [f"c{k}d{j}" for j in range(30)])) for k in range(20)]
     docs.append((99, " ".join(["only"] * 500)))
