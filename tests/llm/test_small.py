@@ -277,6 +277,22 @@ def test_straight_chains_are_those_of_all_anchors(spark):
     assert got == want and len(got) > 100
 
 
+def test_tables_are_broadcast_by_their_size_in_memory(spark, tmp_path):
+    """A file of equal rows is small; what it takes in memory isn't."""
+    from parcelflow.session import writing
+
+    spark.range(1_000_000).selectExpr("id % 5000 AS k", "id % 3 AS v").write.parquet(f"{tmp_path}/t")
+
+    def broadcast():
+        joined = spark.range(20_000_000).withColumnRenamed("id", "k").join(spark.read.parquet(f"{tmp_path}/t"), "k")
+        return "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+
+    assert broadcast()
+    with writing(spark):
+        assert not broadcast()
+    assert broadcast()
+
+
 def test_runs_of_one_word_are_linked_in_step(spark, monkeypatch):
     docs = [(k, " ".join([f"a{k}b{j}" for j in range(30)] + ["la"] * (200 + 10 * k) + [f"c{k}d{j}" for j in range(30)])) for k in range(20)]
     docs.append((99, " ".join(["only"] * 500)))
